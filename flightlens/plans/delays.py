@@ -89,3 +89,30 @@ def flights_by_period(facts: DataFrame, period: str) -> DataFrame:
 
 def passengers_by_year(edges: DataFrame) -> DataFrame:
     return total_by(edges, "fly_year", measure="passengers", name="passengers").orderBy("fly_year")
+
+
+def delays_with_temperatures(
+    facts: DataFrame, temperatures: DataFrame, *, delay: str = "ArrDelay", calendar_day: bool = False
+) -> DataFrame:
+    """Flights with a known delay and the day's temperature at both ends.
+
+    ``calendar_day`` matches month and day only, for weather of another year than the flights;
+    temperatures of several years are then averaged, so that no flight is counted twice.
+    """
+    day = F.col("Month") * 100 + F.col("DayofMonth")
+    if calendar_day:
+        temperatures = temperatures.groupBy("IATA", (F.col("doy") % 10000).alias("doy")).agg(
+            F.avg("temperature").alias("temperature")
+        )
+    else:
+        day = F.col("Year") * 10000 + day
+    known = facts.select("Origin", "Dest", day.alias("day"), as_number(delay).alias("delay")).na.drop(subset=["delay"])
+
+    def at(code: str, name: str) -> DataFrame:
+        return temperatures.select(F.col("IATA").alias(code), F.col("doy").alias("day"), F.col("temperature").alias(name))
+
+    return (
+        known.join(at("Origin", "origin_temperature"), ["Origin", "day"])
+        .join(at("Dest", "destination_temperature"), ["Dest", "day"])
+        .select("Origin", "Dest", "day", "delay", "origin_temperature", "destination_temperature")
+    )

@@ -45,3 +45,13 @@ def nearest_station(airports: DataFrame, stations: DataFrame, width: float = BAN
     ports = airports.select("IATA", "Longitude", "Latitude")
     places = stations.select("stationCode", "long", "lat")
     return nearest(ports, places, BAND, width, key="IATA", candidate="stationCode")
+
+
+def airport_temperatures(
+    observations: DataFrame, airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES
+) -> DataFrame:
+    """Mean temperature per airport and day, read at the airport's nearest station."""
+    readings = observations.na.drop().distinct().filter(F.col("observationType") == TEMPERATURE)
+    daily = readings.groupBy("stationCode", "doy").agg(F.avg("observationVal").alias("temperature"))
+    placed = nearest_station(airports.na.drop(), stations.na.drop(), width)
+    return placed.join(daily, "stationCode").select("IATA", "doy", "temperature")
