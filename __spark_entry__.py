@@ -186,7 +186,7 @@ def queries() -> dict[str, Query]:
         # trends
         "seasonal_spikes": _on_edges(trends.seasonal_spikes, CITIES, rounded=(6, "avg_change")),
         "trend_breaks": _on_edges(trends.trend_breaks, CITIES, rounded=(6, "usual_change", "z_score")),
-        "travel_change": _on_edges(trends.travel_change, CITIES, FIRST, LAST, ),
+        "travel_change": _on_edges(trends.travel_change, CITIES, FIRST, LAST),
         "population_travel_correlation": _on_edges(
             trends.population_travel_correlation,
             ("origin_population", "destination_population", "passengers", "flights"), rounded=(9, "correlation"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlens import schemas
 from flightlens.functions import with_period
+from flightlens.operators import broadcast_if_small
 from flightlens.plans.constants import DELAY_CAUSES
 from flightlens.sources import station_locations
 
@@ -34,26 +35,44 @@ def _code(key: str) -> Column:
     return F.concat(F.lit("N"), F.lpad(F.col(key).cast("string"), 2, "0"))
 
 
+def _place(spark: SparkSession, sf_dir: str, owner: str, prefix: str, end: str, city: bool) -> DataFrame:
+    """Suppliers or customers with the code, city and population of their nation.
+
+    These are worked out on the short side, once per supplier or customer.
+    """
+    key, nation = F.col(f"{prefix}_nationkey"), table(spark, sf_dir, "nation")
+    rows = table(spark, sf_dir, owner)
+    if city:
+        # 25 nations, so Spark broadcasts them here
+        rows = rows.join(nation, key == F.col("n_nationkey")).withColumn(f"{end}_city", F.col("n_name"))
+    return rows.withColumns({
+        f"{end}_code": _code(f"{prefix}_nationkey"),
+        f"{end}_people": F.floor(F.abs(F.col(f"{prefix}_acctbal"))).cast("int"),
+    })
+
+
 def _base(spark: SparkSession, sf_dir: str, columns: Iterable[str], years: Iterable[int] | None) -> DataFrame:
-    """Line items with the tables that the wanted columns come from."""
+    """Line items with the tables that the wanted columns come from.
+
+    Customers are joined to orders before orders to line items, so that at scale the line items,
+    the largest table, are shuffled once less.
+    """
     wanted = set(columns)
     base = table(spark, sf_dir, "lineitem")
     if years is not None:
         span = [F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (min(years), max(years) + 1)]
         base = base.filter((F.col("l_shipdate") >= span[0]) & (F.col("l_shipdate") < span[1]))
-    nation = table(spark, sf_dir, "nation")
     if wanted & FROM_SUPPLIER:
-        base = base.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    if "origin_city" in wanted:
-        names = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin_name"))
-        base = base.join(names, "s_nationkey")
+        origins = _place(spark, sf_dir, "supplier", "s", "origin", "origin_city" in wanted)
+        origins = broadcast_if_small(origins, table(spark, sf_dir, "supplier"))
+        base = base.join(origins, F.col("l_suppkey") == F.col("s_suppkey"))
     if wanted & (FROM_CUSTOMER | FROM_ORDERS):
-        base = base.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if wanted & FROM_CUSTOMER:
-        base = base.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if "destination_city" in wanted:
-        names = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination_name"))
-        base = base.join(names, "c_nationkey")
+        orders = table(spark, sf_dir, "orders")
+        if wanted & FROM_CUSTOMER:
+            ends = _place(spark, sf_dir, "customer", "c", "destination", "destination_city" in wanted)
+            orders = orders.join(ends, F.col("o_custkey") == F.col("c_custkey"))
+        orders = broadcast_if_small(orders, table(spark, sf_dir, "orders"))
+        base = base.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return base
 
 
@@ -63,19 +82,18 @@ def flight_edges(
     """Line items as flight edges, with the derived period columns where ``fly_date`` is wanted."""
     columns = list(columns)
     passengers = F.floor("l_quantity").cast("int")
-    population = F.floor(F.abs(F.col("s_acctbal"))).cast("int")
     made = {
-        "originCode": _code("s_nationkey"),
-        "destinationCode": _code("c_nationkey"),
-        "origin_city": F.col("origin_name"),
-        "destination_city": F.col("destination_name"),
+        "originCode": F.col("origin_code"),
+        "destinationCode": F.col("destination_code"),
+        "origin_city": F.col("origin_city"),
+        "destination_city": F.col("destination_city"),
         "passengers": passengers,
         "seats": passengers + (F.col("l_partkey") % 10).cast("int"),
         "flights": F.col("l_linenumber").cast("int"),
         "distance": F.col("l_extendedprice"),
-        "fly_date": F.date_format("l_shipdate", "yyyyMM"),
-        "origin_population": F.when(F.col("l_linenumber") != 7, population),
-        "destination_population": F.floor(F.abs(F.col("c_acctbal"))).cast("int"),
+        "fly_date": (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("string"),
+        "origin_population": F.when(F.col("l_linenumber") != 7, F.col("origin_people")),
+        "destination_population": F.col("destination_people"),
     }
     base = _base(spark, sf_dir, columns, years)
     edges = base.select(*(made[name].alias(name) for name in columns))
@@ -103,8 +121,8 @@ def flight_facts(
         "ArrDelay": delay((order * 11 + line * 17) % 240 - 30),
         "Cancelled": cancelled.cast("int"),
         "CancellationCode": F.when(cancelled, reason),
-        "Origin": _code("s_nationkey"),
-        "Dest": _code("c_nationkey"),
+        "Origin": F.col("origin_code"),
+        "Dest": F.col("destination_code"),
         "TailNum": F.when(F.col("l_suppkey") % 3 != 0, F.concat(F.lit("T"), F.col("l_suppkey").cast("string"))),
     }
     for i, cause in enumerate(DELAY_CAUSES, start=1):

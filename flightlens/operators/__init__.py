@@ -9,11 +9,11 @@ from flightlens.operators.aggregates import (
     total_by,
     union_by_position,
 )
-from flightlens.operators.joins import band_join, contains_join, nearest
+from flightlens.operators.joins import band_join, broadcast_if_small, contains_join, nearest
 from flightlens.operators.series import change_from_previous, numbered, with_ticks
 
 __all__ = [
-    "average_by", "band_join", "change_from_previous", "contains_join", "distinct_ranked",
+    "average_by", "band_join", "broadcast_if_small", "change_from_previous", "contains_join", "distinct_ranked",
     "nearest", "numbered", "place_traffic", "ranked", "ratio_by", "total_by",
     "union_by_position", "with_ticks",
 ]

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import sqrt
+from operator import add
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from flightlens.operators.regression import assemble
@@ -27,10 +28,10 @@ def scale_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def scaled_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns and their scaled values as plain numbers."""
-    scaled = scale_features(df.select(*columns), columns)
-    values = vector_to_array("features")
-    return scaled.select(*columns, *(values[i].alias(f"scaled_{name}") for i, name in enumerate(columns)))
+    """The columns and their scaled values as plain numbers, without going through vectors."""
+    kept = df.select(*columns).na.drop()
+    found = kept.agg(*(F.stddev_samp(name).alias(name) for name in columns)).first()
+    return kept.withColumns({_scaled(name): _unit(name, found[name]) for name in columns})
 
 
 @dataclass(frozen=True)
@@ -41,23 +42,37 @@ class Clusters:
     deviations: tuple[float, ...]
     points: DataFrame
     model: KMeansModel
-    order: tuple[int, ...]
-    cost: float
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add ``prediction`` to rows that have the clustered columns; touches each row once."""
-        rows = _with_features(df.na.drop(subset=list(self.columns)), self.columns, self.deviations)
-        number = F.array(*(F.lit(self.order.index(i)) for i in range(len(self.order))))
-        found = self.model.transform(rows).withColumn("prediction", F.get(number, F.col("prediction")))
-        return found.drop("features", *map(_scaled, self.columns))
+        """Add ``prediction``, the nearest centre, to rows that have the clustered columns.
+
+        The centres are a few numbers, so they become part of the expression: each row is looked
+        at once, and nothing is shuffled.
+        """
+        axes = [_unit(name, s) for name, s in zip(self.columns, self.deviations)]
+
+        def distance(center: Sequence[float]) -> Column:
+            gaps = [x - F.lit(float(c)) for x, c in zip(axes, center)]
+            return reduce(add, (gap * gap for gap in gaps))
+
+        options = [
+            F.struct(distance(center), F.lit(number).alias("number"))
+            for number, center in enumerate(self.scaled_centers())
+        ]
+        kept = df.na.drop(subset=list(self.columns))
+        return kept.withColumn("prediction", F.array_min(F.array(*options))["number"])
+
+    def scaled_centers(self) -> list[list[float]]:
+        """Centres in units of the deviations, in order."""
+        centers = self.model.clusterCenters()
+        return sorted([float(x) for x in center] for center in centers)
 
     def centers(self) -> DataFrame:
         """Cluster centres, in scaled and in original units."""
         spark: SparkSession = self.points.sparkSession
-        centers = [self.model.clusterCenters()[i] for i in self.order]
         rows = [
-            (number, *map(float, center), *(float(c * s) for c, s in zip(center, self.deviations)))
-            for number, center in enumerate(centers)
+            (number, *center, *(c * s for c, s in zip(center, self.deviations)))
+            for number, center in enumerate(self.scaled_centers())
         ]
         names = [*map(_scaled, self.columns), *self.columns]
         schema = ", ".join(["prediction INT", *(f"{name} DOUBLE" for name in names)])
@@ -76,7 +91,7 @@ class Clusters:
         """
         spots = self.assign(self.points)
         axes = [_unit(name, s) for name, s in zip(self.columns, self.deviations)]
-        norm = sum((x * x for x in axes), F.lit(0.0))
+        norm = reduce(add, (x * x for x in axes))
         weight = F.col("weight")
         clusters = spots.groupBy("prediction").agg(
             F.sum(weight).alias("n"), F.sum(norm * weight).alias("norms"),
@@ -84,7 +99,7 @@ class Clusters:
         ).collect()
 
         def distance(row: Row) -> Column:
-            dot = sum((x * float(row[f"sum{i}"]) for i, x in enumerate(axes)), F.lit(0.0))
+            dot = reduce(add, (x * float(row[f"sum{i}"]) for i, x in enumerate(axes)))
             return norm + float(row["norms"]) / row["n"] - dot * 2 / row["n"]
 
         def mine(row: Row) -> Column:
@@ -97,7 +112,7 @@ class Clusters:
         other = F.array_min(F.array(*others))
         score = F.coalesce(F.try_divide(other - own, F.greatest(own, other)), F.lit(0.0))
         total = F.sum(score * weight) / F.sum(weight)
-        return spots.agg(F.lit(len(self.order)).alias("k"), total.alias("silhouette"))
+        return spots.agg(F.lit(len(self.scaled_centers())).alias("k"), total.alias("silhouette"))
 
 
 def _scaled(name: str) -> str:
@@ -145,5 +160,4 @@ def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, seeds: Sequence[
     ]
     rows.unpersist()
     best = min(fits, key=lambda model: model.summary.trainingCost)
-    order = tuple(sorted(range(len(best.clusterCenters())), key=lambda i: tuple(best.clusterCenters()[i])))
-    return Clusters(columns, deviations, points, best, order, best.summary.trainingCost)
+    return Clusters(columns, deviations, points, best)

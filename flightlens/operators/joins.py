@@ -4,6 +4,9 @@ Neither join builds a cross product, and neither hints a broadcast: which side i
 left to Spark, which compares file sizes, and at run time measured shuffle sizes, with
 ``spark.sql.autoBroadcastJoinThreshold``. Beyond it the plans are sort-merge joins on the keys
 made here, whose hot keys adaptive execution splits.
+
+``broadcast_if_small`` is for sides whose size Spark overestimates before running, such as a
+table already joined to another.
 """
 
 from __future__ import annotations
@@ -22,6 +25,17 @@ from flightlens.functions import pieces
 CELL_MARGIN = 1.000001
 
 
+SMALL_ROWS = 500_000
+
+
+def broadcast_if_small(side: DataFrame, counted: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Hint a broadcast of ``side`` if ``counted``, which bounds its rows, is within ``max_rows``.
+
+    ``counted`` should be a stored table: counting Parquet reads the file footers only.
+    """
+    return F.broadcast(side) if counted.count() <= max_rows else side
+
+
 def contains_join(
     long_df: DataFrame, long_col: str, short_df: DataFrame, short_col: str, *,
     equal: Sequence[tuple[str, str]] = (), lengths: Iterable[int] | None = None,
@@ -35,8 +49,8 @@ def contains_join(
 
     expand="values" finds the matching pairs of distinct values first and joins both frames
     through them: for frames that repeat their values in many rows.
-    expand="rows" cuts up every row of ``long_df``: for a list of places joined to facts, which
-    are then neither copied nor read a second time.
+    expand="rows" cuts up every row of ``long_df``: for a list of places, each there once. Facts
+    joined to it as ``short_df`` are neither copied nor read a second time.
     ``lengths`` limits the substrings to the lengths that short texts can have, if known.
 
     All columns of both frames are kept; their names must differ.

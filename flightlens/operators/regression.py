@@ -39,12 +39,11 @@ def mean_absolute_error(label: str, value: Column) -> Column:
     return F.avg(F.abs(F.col(label) - value))
 
 
-def model_report(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """One fitted model: a row per term with its coefficient, and the error on the training rows."""
-    model = fit_linear(df, features, label)
-    terms = [("intercept", model.intercept), *zip(features, (float(c) for c in model.coefficients))]
-    value = predicted(features, (model.intercept, list(model.coefficients)))
-    error = df.agg(mean_absolute_error(label, value).alias("mae"))
+def model_report(df: DataFrame, features: Sequence[str], label: str, coefficients: Coefficients) -> DataFrame:
+    """A row per term of a fitted model, with the mean error on the rows of ``df``."""
+    intercept, slopes = coefficients
+    error = df.agg(mean_absolute_error(label, predicted(features, coefficients)).alias("mae"))
+    terms = [("intercept", intercept), *zip(features, slopes)]
     rows = F.array(*(
         F.struct(F.lit(term).alias("term"), F.lit(float(c)).alias("coefficient")) for term, c in terms
     ))
@@ -99,6 +98,11 @@ def _solve(moments: Sequence[tuple[set[str], int, np.ndarray, np.ndarray]], colu
     return float(mean[-1] - slopes @ mean[:-1]), [float(s) for s in slopes]
 
 
+def least_squares(df: DataFrame, features: Sequence[str], label: str) -> Coefficients:
+    """Coefficients of one regression from a single pass of aggregation, without vectors."""
+    return _solve(_moments(df, features, label), features, features)
+
+
 def feature_search(df: DataFrame, candidates: Sequence[str], label: str, size: int = 3) -> DataFrame:
     """Training error of the regression on every set of ``size`` candidates.
 

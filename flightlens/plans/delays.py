@@ -78,12 +78,9 @@ def plane_use(facts: DataFrame) -> DataFrame:
 def flights_by_period(facts: DataFrame, period: str) -> DataFrame:
     """Flights and cancellations per day, week, month or year, in order of time."""
     day = F.make_date("Year", "Month", "DayofMonth")
-    daily = facts.groupBy(day.alias("day")).agg(
+    start = day if period == "day" else F.trunc(day, period)
+    return facts.groupBy(start.alias("period_start")).agg(
         F.count("*").alias("flights"), F.sum("Cancelled").alias("cancelled")
-    )
-    start = F.trunc("day", period) if period != "day" else F.col("day")
-    return daily.groupBy(start.alias("period_start")).agg(
-        F.sum("flights").alias("flights"), F.sum("cancelled").alias("cancelled")
     ).orderBy("period_start")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from flightlens.operators.clustering import Clusters, fit_clusters, scaled_columns
-from flightlens.operators.regression import best_features, feature_search, model_report
+from flightlens.operators.regression import best_features, feature_search, fit_linear, least_squares, model_report
 from flightlens.plans.constants import (
     CLUSTER_COLUMNS,
     CLUSTER_COUNT,
@@ -27,13 +27,16 @@ def best_flight_count_features(edges: DataFrame, candidates: Sequence[str] = REG
 
 
 def flight_count_model(edges: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One regression by Spark ML: its coefficients and training error."""
-    return model_report(edges, features, REGRESSION_LABEL)
+    """One regression fitted by Spark ML: its coefficients and training error."""
+    model = fit_linear(edges, features, REGRESSION_LABEL)
+    coefficients = (model.intercept, [float(c) for c in model.coefficients])
+    return model_report(edges, features, REGRESSION_LABEL, coefficients)
 
 
 def delay_temperature_model(pairs: DataFrame) -> DataFrame:
     """Delay predicted from the temperatures at both ends."""
-    return model_report(pairs, ("origin_temperature", "destination_temperature"), "delay")
+    features, label = ("origin_temperature", "destination_temperature"), "delay"
+    return model_report(pairs, features, label, least_squares(pairs, features, label))
 
 
 def _clustered_flights(flights: DataFrame, airports: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ def _both_ends(traffic: DataFrame, place: str, *shared: str) -> DataFrame:
     ends = [F.col(name).alias(f"to_{name}") for name in shared]
     destinations = summary.filter("arrives").select(F.col("place").alias("to_place"), *ends, "flightsTo")
     pairs = contains_join(
-        origins, place, destinations, "to_place", equal=[(name, f"to_{name}") for name in shared]
+        origins, place, destinations, "to_place", equal=[(name, f"to_{name}") for name in shared],
+        expand="values" if shared else "rows",
     )
     flights = (F.col("flightsFrom") + F.col("flightsTo")).alias("flights")
     return pairs.select(place, *shared, "flightsFrom", "flightsTo", flights)
@@ -50,7 +51,7 @@ def airport_bubbles(edges: DataFrame, airports: DataFrame, year: int, box: dict[
     Airports with a null in any column, used here or not, are left out.
     """
     traffic = airport_traffic(edges, year).select("airportCode", "flights")
-    placed = contains_join(traffic, "airportCode", airports, "IATA")
+    placed = contains_join(traffic, "airportCode", airports, "IATA", expand="rows")
     kept = placed.filter(in_box("Latitude", "Longitude", **box)).na.drop()
     size: Column = F.col("flights") / BUBBLE_DIVISOR + BUBBLE_BASE
     return kept.select("Longitude", "Latitude", F.col("flights").cast("double"), size.alias("bubble_size"))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from flightlens.functions import in_box
 from flightlens.operators import band_join, nearest
 from flightlens.plans.constants import BAND_DEGREES, RAIN, TEMPERATURE, WEATHER_BOX
+from flightlens.session import materialize
 
 BAND = (("Longitude", "long"), ("Latitude", "lat"))
 
@@ -50,8 +51,11 @@ def nearest_station(airports: DataFrame, stations: DataFrame, width: float = BAN
 def airport_temperatures(
     observations: DataFrame, airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES
 ) -> DataFrame:
-    """Mean temperature per airport and day, read at the airport's nearest station."""
+    """Mean temperature per airport and day, read at the airport's nearest station.
+
+    A small table (airports by days), written once because flights meet it at both ends.
+    """
     readings = observations.na.drop().distinct().filter(F.col("observationType") == TEMPERATURE)
     daily = readings.groupBy("stationCode", "doy").agg(F.avg("observationVal").alias("temperature"))
     placed = nearest_station(airports.na.drop(), stations.na.drop(), width)
-    return placed.join(daily, "stationCode").select("IATA", "doy", "temperature")
+    return materialize(placed.join(daily, "stationCode").select("IATA", "doy", "temperature"), "temperatures")

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     made = session(
         "tests", master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         **{
-            "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
