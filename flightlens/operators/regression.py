@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
+from math import sqrt
+from operator import add
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +16,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 Coefficients = tuple[float, list[float]]
 
+# A mean this many deviations from zero costs the sums of products too many digits.
+FAR = 100.0
+# A deviation below this share of the mean is rounding: the column is constant.
+CONSTANT = 1e-13
+
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
     """Rows without a null in the columns, with the columns gathered into a vector."""
@@ -50,49 +59,80 @@ def model_report(df: DataFrame, features: Sequence[str], label: str, coefficient
     return error.select(F.inline(rows), "mae")
 
 
-def _moments(df: DataFrame, columns: Sequence[str], label: str) -> list[tuple[set[str], int, np.ndarray, np.ndarray]]:
-    """Count, means and covariance sums of the columns, per combination of columns that are null.
+@dataclass(frozen=True)
+class _Moments:
+    """Of the rows with the same columns missing: their number, means and sums of products of deviations."""
+
+    missing: frozenset[str]
+    n: int
+    means: np.ndarray
+    spread: np.ndarray
+
+
+def _sums(df: DataFrame, columns: Sequence[str], label: str, shift: np.ndarray) -> list[_Moments]:
+    """One pass: sums and sums of products of the columns, less ``shift``, per set of missing columns.
 
     Each set of features drops only the rows where one of its own is null. Grouping by which
-    columns are null serves all the sets from one pass; n candidates give at most 2**n rows.
+    columns are null serves all the sets at once; n candidates give at most 2**n small rows.
     """
-    known = df.filter(F.col(label).isNotNull())
     names = [*columns, label]
-    flags = [F.col(name).isNull().alias(f"_no_{name}") for name in columns]
-    doubles = {name: F.col(name).cast("double") for name in names}
+    value = {name: F.col(name).cast("double") - F.lit(float(s)) for name, s in zip(names, shift)}
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    rows = known.groupBy(*flags).agg(
+    missing = reduce(add, (F.col(name).isNull().cast("int") * 2**i for i, name in enumerate(columns)))
+    rows = df.filter(F.col(label).isNotNull()).groupBy(missing.alias("_missing")).agg(
         F.count("*").alias("_n"),
-        *(F.avg(doubles[name]).alias(f"_mean_{name}") for name in names),
-        *(F.covar_pop(doubles[a], doubles[b]).alias(f"_cov_{a}_{b}") for a, b in pairs),
+        *(F.sum(value[name]).alias(name) for name in names),
+        *(F.sum(value[a] * value[b]).alias(f"{a}*{b}") for a, b in pairs),
     ).collect()
     found = []
     for row in rows:
-        missing = {name for name in columns if row[f"_no_{name}"]}
-        means = np.array([row[f"_mean_{name}"] or 0.0 for name in names])
-        cov = np.zeros((len(names), len(names)))
+        means = np.array([row[name] or 0.0 for name in names]) / row["_n"]
+        products = np.zeros((len(names), len(names)))
         for a, b in pairs:
             i, j = names.index(a), names.index(b)
-            cov[i, j] = cov[j, i] = row[f"_cov_{a}_{b}"] or 0.0
-        found.append((missing, row["_n"], means, cov * row["_n"]))
+            products[i, j] = products[j, i] = row[f"{a}*{b}"] or 0.0
+        spread = products - row["_n"] * np.outer(means, means)
+        absent = frozenset(name for i, name in enumerate(columns) if row["_missing"] & 2**i)
+        found.append(_Moments(absent, row["_n"], means + shift, spread))
     return found
 
 
-def _solve(moments: Sequence[tuple[set[str], int, np.ndarray, np.ndarray]], columns: Sequence[str],
-           features: Sequence[str]) -> Coefficients:
-    """Least-squares coefficients from the moments of the groups where every feature is known."""
-    at = [list(columns).index(name) for name in features] + [len(columns)]
+def _moments(df: DataFrame, columns: Sequence[str], label: str) -> list[_Moments]:
+    """Moments per set of missing columns, exact also for columns far from zero.
+
+    Sums of products lose digits where a mean is large beside the deviation; only then a second
+    pass takes the sums about the means found in the first.
+    """
+    names = [*columns, label]
+    found = _sums(df, columns, label, np.zeros(len(names)))
+    shift, far = np.zeros(len(names)), False
+    for i, name in enumerate(names):
+        _, mean, spread = _merged([m for m in found if name not in m.missing], [i])
+        shift[i] = mean[0]
+        n = sum(m.n for m in found if name not in m.missing)
+        far = far or (n > 0 and abs(mean[0]) > FAR * sqrt(max(spread[0, 0], 0.0) / n))
+    return _sums(df, columns, label, shift) if far else found
+
+
+def _merged(groups: Sequence[_Moments], at: Sequence[int]) -> tuple[int, np.ndarray, np.ndarray]:
+    """The moments of all the groups' rows together, for the columns at some positions."""
     n, mean, spread = 0, np.zeros(len(at)), np.zeros((len(at), len(at)))
-    for missing, size, means, sums in moments:
-        if missing & set(features):
-            continue
-        gap = means[at] - mean
-        spread += sums[np.ix_(at, at)] + np.outer(gap, gap) * n * size / (n + size)
-        mean += gap * size / (n + size)
-        n += size
-    scale = np.sqrt(np.diag(spread))
-    scale[scale == 0] = 1.0
-    correlation = spread / np.outer(scale, scale)
+    for group in groups:
+        gap = group.means[at] - mean
+        spread += group.spread[np.ix_(at, at)] + np.outer(gap, gap) * (n * group.n / (n + group.n))
+        mean += gap * (group.n / (n + group.n))
+        n += group.n
+    return n, mean, spread
+
+
+def _solve(moments: Sequence[_Moments], columns: Sequence[str], features: Sequence[str]) -> Coefficients:
+    """Least-squares coefficients from the rows where every feature is known."""
+    at = [list(columns).index(name) for name in features] + [len(columns)]
+    n, mean, spread = _merged([m for m in moments if not m.missing & set(features)], at)
+    deviation = np.sqrt(np.maximum(np.diag(spread), 0.0) / max(n, 1))
+    varies = deviation > CONSTANT * np.abs(mean)
+    scale = np.where(varies, deviation, 1.0)
+    correlation = np.where(np.outer(varies, varies), spread / max(n, 1) / np.outer(scale, scale), 0.0)
     slopes, *_ = np.linalg.lstsq(correlation[:-1, :-1], correlation[:-1, -1], rcond=None)
     slopes = slopes * scale[-1] / scale[:-1]
     return float(mean[-1] - slopes @ mean[:-1]), [float(s) for s in slopes]
