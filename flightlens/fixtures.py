@@ -9,8 +9,10 @@ reaches the file scan, as naming the yearly files would.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from flightlens import schemas
 from flightlens.functions import with_period
@@ -27,52 +29,58 @@ FROM_CUSTOMER = {"destinationCode", "destination_city", "destination_population"
 FROM_ORDERS = {"CancellationCode"}
 
 
+@cache
+def _schema(path: str) -> StructType:
+    """A table's schema, read from its files once per process and not once per query."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _code(key: str) -> Column:
     return F.concat(F.lit("N"), F.lpad(F.col(key).cast("string"), 2, "0"))
 
 
-def _place(spark: SparkSession, sf_dir: str, owner: str, prefix: str, end: str, city: bool) -> DataFrame:
-    """Suppliers or customers with the code, city and population of their nation.
-
-    These are worked out on the short side, once per supplier or customer.
-    """
-    key, nation = F.col(f"{prefix}_nationkey"), table(spark, sf_dir, "nation")
-    rows = table(spark, sf_dir, owner)
-    if city:
-        # 25 nations, so Spark broadcasts them here
-        rows = rows.join(nation, key == F.col("n_nationkey")).withColumn(f"{end}_city", F.col("n_name"))
-    return rows.withColumns({
-        f"{end}_code": _code(f"{prefix}_nationkey"),
-        f"{end}_people": F.floor(F.abs(F.col(f"{prefix}_acctbal"))).cast("int"),
-    })
-
-
 def _base(spark: SparkSession, sf_dir: str, columns: Iterable[str], years: Iterable[int] | None) -> DataFrame:
     """Line items with the tables that the wanted columns come from.
 
+    Codes and populations are worked out on the short sides, once per supplier or customer.
     Customers are joined to orders before orders to line items, so that at scale the line items,
-    the largest table, are shuffled once less.
+    the largest table, are shuffled once less; Spark cannot tell how small that joined side is,
+    so its rows are counted. The 25 nations and, while small, the suppliers are broadcast by
+    Spark's own check of file sizes.
     """
     wanted = set(columns)
     base = table(spark, sf_dir, "lineitem")
     if years is not None:
         span = [F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (min(years), max(years) + 1)]
         base = base.filter((F.col("l_shipdate") >= span[0]) & (F.col("l_shipdate") < span[1]))
+
+    def place(owner: str, prefix: str, end: str) -> DataFrame:
+        return table(spark, sf_dir, owner).withColumns({
+            f"{end}_code": _code(f"{prefix}_nationkey"),
+            f"{end}_people": F.floor(F.abs(F.col(f"{prefix}_acctbal"))).cast("int"),
+        })
+
+    def named(rows: DataFrame, key: str, city: str) -> DataFrame:
+        nation = table(spark, sf_dir, "nation")
+        return rows.join(nation.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(city)), key)
+
     if wanted & FROM_SUPPLIER:
-        origins = _place(spark, sf_dir, "supplier", "s", "origin", "origin_city" in wanted)
-        origins = broadcast_if_small(origins, table(spark, sf_dir, "supplier"))
-        base = base.join(origins, F.col("l_suppkey") == F.col("s_suppkey"))
+        base = base.join(place("supplier", "s", "origin"), F.col("l_suppkey") == F.col("s_suppkey"))
+        if "origin_city" in wanted:
+            base = named(base, "s_nationkey", "origin_city")
     if wanted & (FROM_CUSTOMER | FROM_ORDERS):
-        orders = table(spark, sf_dir, "orders")
+        orders = side = table(spark, sf_dir, "orders")
         if wanted & FROM_CUSTOMER:
-            ends = _place(spark, sf_dir, "customer", "c", "destination", "destination_city" in wanted)
-            orders = orders.join(ends, F.col("o_custkey") == F.col("c_custkey"))
-        orders = broadcast_if_small(orders, table(spark, sf_dir, "orders"))
-        base = base.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            side = orders.join(place("customer", "c", "destination"), F.col("o_custkey") == F.col("c_custkey"))
+            if "destination_city" in wanted:
+                side = named(side, "c_nationkey", "destination_city")
+            side = broadcast_if_small(side, orders)
+        base = base.join(side, F.col("l_orderkey") == F.col("o_orderkey"))
     return base
 
 
