@@ -151,6 +151,7 @@ def queries() -> dict[str, Query]:
         "focus_outbound_city": _on_edges(focus.outbound_by_city, (*CODES, "destination_city"), FOCUS),
         # traffic, maps, routes
         "traffic_by_city_month": _on_edges(by_city_month, CITIES),
+        "traffic_by_same_city_month": _on_edges(by_city_month, CITIES, same_name=True),
         "busiest_city_months": _on_edges(by_city_month, CITIES, top=20),
         "least_travelled_city_months": _on_edges(by_city_month, CITIES, top=20, descending=False),
         "airport_traffic_first_year": _on_edges(traffic.airport_traffic, CODES, FIRST, years=[FIRST]),

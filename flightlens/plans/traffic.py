@@ -10,12 +10,18 @@ from flightlens.plans.constants import BUBBLE_BASE, BUBBLE_DIVISOR
 from flightlens.session import materialize
 
 
-def _both_ends(traffic: DataFrame, place: str, *shared: str) -> DataFrame:
+def _both_ends(traffic: DataFrame, place: str, *shared: str, same_name: bool = False) -> DataFrame:
     """Places as origins joined to places as destinations whose name their own name contains.
 
-    The two roles of the summary are two branches of one plan; writing the summary first keeps
-    the edges from being read once per branch.
+    With ``same_name`` only to themselves, which needs no join. Otherwise the two roles of the
+    summary are two branches of one plan; writing the summary first keeps the edges from being
+    read once per branch.
     """
+    flights = (F.col("flightsFrom") + F.col("flightsTo")).alias("flights")
+    columns = (place, *shared, "flightsFrom", "flightsTo", flights)
+    if same_name:
+        both = traffic.filter(F.col("departs") & F.col("arrives")).na.drop(subset=["place", *shared])
+        return both.withColumnRenamed("place", place).select(*columns)
     summary = materialize(traffic, "place-traffic")
     origins = summary.filter("departs").select(F.col("place").alias(place), *shared, "flightsFrom")
     ends = [F.col(name).alias(f"to_{name}") for name in shared]
@@ -24,19 +30,21 @@ def _both_ends(traffic: DataFrame, place: str, *shared: str) -> DataFrame:
         origins, place, destinations, "to_place", equal=[(name, f"to_{name}") for name in shared],
         expand="values" if shared else "rows",
     )
-    flights = (F.col("flightsFrom") + F.col("flightsTo")).alias("flights")
-    return pairs.select(place, *shared, "flightsFrom", "flightsTo", flights)
+    return pairs.select(*columns)
 
 
-def traffic_by_city_month(edges: DataFrame, *, top: int | None = None, descending: bool = True) -> DataFrame:
+def traffic_by_city_month(
+    edges: DataFrame, *, top: int | None = None, descending: bool = True, same_name: bool = False
+) -> DataFrame:
     """Departures plus arrivals per city and month, busiest first.
 
-    A city also takes up the arrivals of every city whose name is part of its own. Months are six
+    A city also takes up the arrivals of every city whose name is part of its own, unless
+    ``same_name`` asks for equal names. Months are six
     characters on both sides, where containment is equality, so they join as an equal key.
     """
     months = place_traffic(edges, "origin_city", "destination_city", "fly_date")
-    joined = _both_ends(months, "origin_city", "fly_date").select("origin_city", "fly_date", "flights")
-    return ranked(joined, "flights", "origin_city", "fly_date", descending=descending, top=top)
+    joined = _both_ends(months, "origin_city", "fly_date", same_name=same_name)
+    return ranked(joined.select("origin_city", "fly_date", "flights"), "flights", "origin_city", "fly_date", descending=descending, top=top)
 
 
 def airport_traffic(edges: DataFrame, year: int) -> DataFrame:

@@ -342,6 +342,9 @@ UNION ALL SELECT fly_date, month_index, 'tick', 6700.0E0 FROM months WHERE month
         "focus_outbound_city": _focus(outbound, "destination_city"),
         # traffic, maps, routes
         "traffic_by_city_month": f"WITH {TRAFFIC} SELECT * FROM traffic",
+        "traffic_by_same_city_month": f"""WITH {TRAFFIC}
+SELECT d.origin_city, d.fly_date, CAST(d.n + a.n AS BIGINT) AS flights
+FROM departures d JOIN arrivals a ON d.fly_date = a.fly_date AND d.origin_city = a.destination_city""",
         "busiest_city_months": f"""WITH {TRAFFIC} SELECT * FROM traffic
 ORDER BY flights DESC, origin_city, fly_date LIMIT 20""",
         "least_travelled_city_months": f"""WITH {TRAFFIC} SELECT * FROM traffic

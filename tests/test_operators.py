@@ -1,5 +1,6 @@
 import math
 import random
+from contextlib import contextmanager
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -159,12 +160,21 @@ def test_contains_join_wants_distinct_names(spark):
         contains_join(one, "t", one.toDF("u"), "u", expand="else")
 
 
-def test_contains_join_with_a_hot_value(spark, monkeypatch):
+def test_contains_join_with_a_hot_value(spark):
     """A value in a third of all rows, and no broadcast: a sort-merge join split by its skew."""
     hot = [("hot place" if i % 3 == 0 else f"place {i % 50}", i) for i in range(30_000)]
     long = spark.createDataFrame(hot, "l STRING, n INT")
     short = spark.createDataFrame([("hot",), ("place 7",), ("e 1",)], "s STRING")
     expected = sum(1 for text, _ in hot for s in ("hot", "place 7", "e 1") if s in text)
+    with _split_small_partitions(spark):
+        joined = contains_join(long.repartition(8), "l", short, "s")
+        assert len(joined.collect()) == expected
+        assert "skew=true" in _plan(joined)
+
+
+@contextmanager
+def _split_small_partitions(spark):
+    """No broadcasts, and adaptive execution that calls partitions of a few kilobytes skewed."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
@@ -175,9 +185,7 @@ def test_contains_join_with_a_hot_value(spark, monkeypatch):
     for key, value in conf.items():
         spark.conf.set(key, value)
     try:
-        joined = contains_join(long.repartition(8), "l", short, "s")
-        assert len(joined.collect()) == expected
-        assert "skew=true" in _plan(joined)
+        yield
     finally:
         for key, value in old.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
@@ -246,6 +254,20 @@ def test_band_join_equals_nested_loop(spark, seed, width):
     assert _band(spark, lefts, rights, width) == _brute_band(lefts, rights, width)
 
 
+def test_band_join_with_a_hot_cell(spark):
+    """A third of the points in one cell: the same pairs, from a sort-merge join split by its skew."""
+    source = random.Random(9)
+    lefts = [(1.0, 1.0) if i % 3 == 0 else (source.uniform(-200, 200), source.uniform(-90, 90)) for i in range(30_000)]
+    rights = [(1.5, 1.5), (3.9, 1.0), (4.0, 1.0), (100.0, 40.0), (-100.0, -40.0)]
+    left = _points(spark, lefts, "i INT, x DOUBLE, y DOUBLE").repartition(8)
+    right = _points(spark, rights, "j INT, u DOUBLE, v DOUBLE")
+    with _split_small_partitions(spark):
+        joined = band_join(left, right, [("x", "u"), ("y", "v")], 3.0)
+        assert _rows(joined.select("i", "j")) == _brute_band(lefts, rights, 3.0)
+        joined.collect()
+        assert "skew=true" in _plan(joined)
+
+
 def test_nearest_breaks_ties_by_name(spark):
     left = _points(spark, [(0, 0), (50, 50)], "i INT, x DOUBLE, y DOUBLE")
     right = _points(spark, [(1, 0), (0, 1), (2, 2)], "j INT, u DOUBLE, v DOUBLE")

@@ -48,6 +48,8 @@ def test_traffic_takes_up_contained_names(spark):
     )
     got = sorted((r.origin_city, r.flights) for r in traffic.traffic_by_city_month(edges).collect())
     assert got == [("New York North", 6), ("New York North", 7), ("York", 7)]
+    same = traffic.traffic_by_city_month(edges, same_name=True).collect()
+    assert sorted((r.origin_city, r.flights) for r in same) == [("New York North", 7), ("York", 7)]
 
 
 def test_bubbles_drop_airports_with_any_null(spark, edges):
