@@ -149,6 +149,12 @@ def queries() -> dict[str, Query]:
         "focus_inbound_city": _on_edges(focus.inbound_by_city, (*CODES, "origin_city"), FOCUS),
         "focus_outbound_city_year": _on_edges(focus.outbound_by_city_year, (*CODES, "destination_city"), FOCUS),
         "focus_outbound_city": _on_edges(focus.outbound_by_city, (*CODES, "destination_city"), FOCUS),
+        "focus_inbound_city_year_first_last": _on_edges(
+            focus.inbound_by_city_year, (*CODES, "origin_city"), FOCUS, None, (FIRST, LAST)
+        ),
+        "focus_outbound_city_year_first_last": _on_edges(
+            focus.outbound_by_city_year, (*CODES, "destination_city"), FOCUS, None, (FIRST, LAST)
+        ),
         # traffic, maps, routes
         "traffic_by_city_month": _on_edges(by_city_month, CITIES),
         "traffic_by_same_city_month": _on_edges(by_city_month, CITIES, same_name=True),

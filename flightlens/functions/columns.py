@@ -70,7 +70,7 @@ def pieces(text: str, lengths: Iterable[int] | None = None) -> Column:
     if lengths is None:
         wanted = F.sequence(F.lit(0), size)
     else:
-        wanted = F.filter(F.array(*map(F.lit, sorted(set(lengths)))), lambda n: n <= size)
+        wanted = F.filter(F.array(*map(F.lit, sorted(set(lengths)))).cast("array<int>"), lambda n: n <= size)
     cut = F.transform(
         wanted,
         lambda n: F.transform(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flightlens.functions import in_years
 from flightlens.operators import numbered, ranked, total_by, with_ticks
 from flightlens.plans.constants import FOCUS_AIRPORT, TICK_EVERY, TICK_HEIGHT
 
@@ -39,22 +42,38 @@ def month_series(
     return with_ticks(months, "month_index", "number_of_flights", every=every, tick=tick)
 
 
-def _cities(edges: DataFrame, end: str, airport: str, top: int | None, *keys: str) -> DataFrame:
-    totals = total_by(edges.filter(F.col(end) == airport), *keys)
-    return ranked(totals, "number_of_flights", *keys, top=top)
+def _cities(
+    edges: DataFrame, end: str, airport: str, top: int | None, years: Iterable[int] | None, *keys: str
+) -> DataFrame:
+    kept = edges.filter(F.col(end) == airport)
+    if years is not None:
+        kept = kept.filter(in_years(years))
+    return ranked(total_by(kept, *keys), "number_of_flights", *keys, top=top)
 
 
-def inbound_by_city_year(edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None) -> DataFrame:
-    return _cities(edges, "destinationCode", airport, top, "origin_city", "fly_year")
+def inbound_by_city_year(
+    edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Flights to the airport by city of origin and year; ``years`` keeps some years only."""
+    return _cities(edges, "destinationCode", airport, top, years, "origin_city", "fly_year")
 
 
-def inbound_by_city(edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None) -> DataFrame:
-    return _cities(edges, "destinationCode", airport, top, "origin_city")
+def inbound_by_city(
+    edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Flights to the airport by city of origin."""
+    return _cities(edges, "destinationCode", airport, top, years, "origin_city")
 
 
-def outbound_by_city_year(edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None) -> DataFrame:
-    return _cities(edges, "originCode", airport, top, "destination_city", "fly_year")
+def outbound_by_city_year(
+    edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Flights from the airport by city of destination and year."""
+    return _cities(edges, "originCode", airport, top, years, "destination_city", "fly_year")
 
 
-def outbound_by_city(edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None) -> DataFrame:
-    return _cities(edges, "originCode", airport, top, "destination_city")
+def outbound_by_city(
+    edges: DataFrame, airport: str = FOCUS_AIRPORT, top: int | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Flights from the airport by city of destination."""
+    return _cities(edges, "originCode", airport, top, years, "destination_city")

@@ -23,7 +23,9 @@ def weather_with_location(observations: DataFrame, stations: DataFrame) -> DataF
 def temperature_and_rain(located: DataFrame, box: dict[str, float] | None = None) -> DataFrame:
     """Temperature and rain of the same station and day side by side, inside a box.
 
-    Several readings of a kind on one day all pair up, so this is a join and not a pivot.
+    Several readings of a kind on one day all pair up, so this is a join and not a pivot. Each
+    side scans ``located`` for its own kind only; for raw text files, where a scan cannot skip,
+    pass a written copy of it.
     """
     box = WEATHER_BOX if box is None else box
 

@@ -340,6 +340,10 @@ UNION ALL SELECT fly_date, month_index, 'tick', 6700.0E0 FROM months WHERE month
         "focus_inbound_city": _focus(inbound, "origin_city"),
         "focus_outbound_city_year": _focus(outbound, "destination_city, fly_year"),
         "focus_outbound_city": _focus(outbound, "destination_city"),
+        "focus_inbound_city_year_first_last":
+            _focus(f"{inbound} AND fly_year IN ({FIRST}, {LAST})", "origin_city, fly_year"),
+        "focus_outbound_city_year_first_last":
+            _focus(f"{outbound} AND fly_year IN ({FIRST}, {LAST})", "destination_city, fly_year"),
         # traffic, maps, routes
         "traffic_by_city_month": f"WITH {TRAFFIC} SELECT * FROM traffic",
         "traffic_by_same_city_month": f"""WITH {TRAFFIC}
