@@ -66,6 +66,7 @@ def test_pieces(spark):
     assert all_of == [["", "A", "AB", "ABA", "ABAB", "B", "BA", "BAB"], [""], None]
     twos = [sorted(r[0] or []) for r in rows.select(pieces("t", [2, 9])).collect()]
     assert twos == [["AB", "BA"], [], []]
+    assert rows.select(F.explode(pieces("t", []))).count() == 0
 
 
 # totals
