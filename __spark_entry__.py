@@ -18,6 +18,13 @@ from flightlens.plans.constants import (  # noqa: E402
     DELAY_CAUSES, FIRST_MAP_BOX, LAST_MAP_BOX, REGRESSION_CANDIDATES, REGRESSION_LABEL,
 )
 
+try:  # the training-data operators are an optional part
+    from flightlens.llm.queries import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("flightlens.llm", "flightlens.llm.queries", "corpus_pipeline"):
+        raise
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FOCUS, FIRST, LAST = fx.FOCUS, fx.FIRST, fx.LAST
@@ -98,7 +105,7 @@ def queries() -> dict[str, Query]:
     calendar = seasons.flights_by_calendar_month
     month_columns = ("flights", "fly_date")
     model_features = ("origin_population", "distance", "passengers")
-    return {
+    return LLM_QUERIES | {
         # sources and projections
         "station_locations": fx.stations,
         "station_locations_reference_slices":
@@ -216,4 +223,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    return LLM_ORACLES | oracle_queries.oracle_sql()
