@@ -84,7 +84,7 @@ def position_of(share: Column, pieces: Column) -> Column:
         need = share - piece["before"]
         # w0 x + slope x^2 / 2 = need, in the form that also holds for slope 0
         root = F.sqrt(F.greatest(piece["w0"] * piece["w0"] + 2 * slope * need, F.lit(0.0)))
-        return piece["t"] + F.least(2 * need / (piece["w0"] + root), piece["span"])
+        return piece["t"] + F.least(F.coalesce(F.try_divide(2 * need, piece["w0"] + root), F.lit(0.0)), piece["span"])
 
     return F.aggregate(pieces, F.lit(0.0), lambda acc, piece: F.when(share > piece["before"], invert(piece)).otherwise(acc))
 
