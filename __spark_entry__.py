@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
 from flightlens import fixtures as fx, schemas  # noqa: E402
-from flightlens.operators import contains_join, total_by  # noqa: E402
+from flightlens.operators import contains_join, total_by, union_by_position  # noqa: E402
 from flightlens.plans import delays, focus, models, seasons, traffic, trends, weather  # noqa: E402
 from flightlens.plans.constants import (  # noqa: E402
-    DELAY_CAUSES, FIRST_MAP_BOX, LAST_MAP_BOX, REGRESSION_CANDIDATES, REGRESSION_LABEL,
+    CLUSTER_COLUMNS, DELAY_CAUSES, FIRST_MAP_BOX, LAST_MAP_BOX, REGRESSION_CANDIDATES, REGRESSION_LABEL,
 )
 
 try:  # the training-data operators are an optional part
@@ -32,6 +32,7 @@ CODES = ("originCode", "destinationCode", "flights", "fly_date")
 CITIES = ("origin_city", "destination_city", "flights", "fly_date")
 DAY = ("Year", "Month", "DayofMonth")
 AIRPORT_FLIGHTS = (*DAY, "DepDelay", "ArrDelay", "Cancelled", "CancellationCode", "Origin", "Dest")
+ROUTE = ("origin_city", "destination_city", "distance")
 CLUSTERED = ("Cancelled", "Month", "Origin")
 EDGES = ("originCode", "destinationCode", "origin_city", "destination_city", "passengers", "seats", "flights",
          "distance", "fly_date", "origin_population", "destination_population")
@@ -69,6 +70,16 @@ def _located(spark: SparkSession, sf_dir: str, slices=schemas.STATION_SLICES) ->
     return weather.weather_with_location(fx.weather_observations(spark, sf_dir), fx.stations(spark, sf_dir, slices))
 
 
+def _wide(spark: SparkSession, sf_dir: str, slices=schemas.STATION_SLICES) -> DataFrame:
+    return weather.temperature_and_rain(fx.weather_observations(spark, sf_dir), fx.stations(spark, sf_dir, slices))
+
+
+def _union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One frame per year, each with its own range of the scan, put together by position."""
+    columns = (*DAY, "Origin", "Dest", "DepDelay", "ArrDelay", "Cancelled")
+    return union_by_position(fx.flight_facts(spark, sf_dir, columns, [year]) for year in range(FIRST, LAST + 1))
+
+
 def _contains_join_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = total_by(fx.flight_edges(spark, sf_dir, ("origin_city", "flights")), "origin_city")
     return contains_join(totals, "origin_city", fx.airports(spark, sf_dir), "City", expand="rows")
@@ -111,15 +122,11 @@ def queries() -> dict[str, Query]:
         "station_locations_reference_slices":
             lambda spark, sf_dir: fx.stations(spark, sf_dir, schemas.REFERENCE_STATION_SLICES),
         "edges_with_period": lambda spark, sf_dir: fx.flight_edges(spark, sf_dir, EDGES),
-        "union_years": _on_facts(
-            delays.facts_of_years, (*DAY, "Origin", "Dest", "DepDelay", "ArrDelay", "Cancelled"), range(FIRST, LAST + 1)
-        ),
+        "union_years": _union_years,
         # weather
         "weather_with_location": _located,
-        "weather_daily_wide": lambda spark, sf_dir: weather.temperature_and_rain(_located(spark, sf_dir)),
-        "weather_daily_wide_reference_slices": lambda spark, sf_dir: weather.temperature_and_rain(
-            _located(spark, sf_dir, schemas.REFERENCE_STATION_SLICES)
-        ),
+        "weather_daily_wide": _wide,
+        "weather_daily_wide_reference_slices": lambda spark, sf_dir: _wide(spark, sf_dir, schemas.REFERENCE_STATION_SLICES),
         "airports_near_stations": lambda spark, sf_dir: weather.airports_near_stations(
             fx.airports(spark, sf_dir), fx.stations(spark, sf_dir)
         ),
@@ -149,7 +156,7 @@ def queries() -> dict[str, Query]:
         ),
         # one airport
         "focus_flights_by_year": _on_edges(focus.flights_by_year, CODES, FOCUS),
-        "focus_flights_by_month": _on_edges(focus.flights_by_month, CODES, FOCUS),
+        "focus_flights_by_month": _on_edges(focus.flights_by_month, CODES, FOCUS, top=20),
         "focus_month_histogram": _on_edges(focus.month_histogram, CODES, FOCUS),
         "focus_month_series": _on_edges(focus.month_series, CODES, FOCUS),
         "focus_inbound_city_year": _on_edges(focus.inbound_by_city_year, (*CODES, "origin_city"), FOCUS),
@@ -157,10 +164,10 @@ def queries() -> dict[str, Query]:
         "focus_outbound_city_year": _on_edges(focus.outbound_by_city_year, (*CODES, "destination_city"), FOCUS),
         "focus_outbound_city": _on_edges(focus.outbound_by_city, (*CODES, "destination_city"), FOCUS),
         "focus_inbound_city_year_first_last": _on_edges(
-            focus.inbound_by_city_year, (*CODES, "origin_city"), FOCUS, None, (FIRST, LAST)
+            focus.inbound_by_city_year, (*CODES, "origin_city"), FOCUS, None, (FIRST, LAST), years=(FIRST, LAST)
         ),
         "focus_outbound_city_year_first_last": _on_edges(
-            focus.outbound_by_city_year, (*CODES, "destination_city"), FOCUS, None, (FIRST, LAST)
+            focus.outbound_by_city_year, (*CODES, "destination_city"), FOCUS, None, (FIRST, LAST), years=(FIRST, LAST)
         ),
         # traffic, maps, routes
         "traffic_by_city_month": _on_edges(by_city_month, CITIES),
@@ -172,10 +179,8 @@ def queries() -> dict[str, Query]:
         "airport_bubbles_first_year": _bubbles(FIRST, FIRST_MAP_BOX),
         "airport_bubbles_last_year": _bubbles(LAST, LAST_MAP_BOX),
         "contains_join_airports": _contains_join_airports,
-        "routes_longest": _on_edges(traffic.routes_by_distance, ("origin_city", "destination_city", "distance")),
-        "routes_shortest": _on_edges(
-            traffic.routes_by_distance, ("origin_city", "destination_city", "distance"), descending=False
-        ),
+        "routes_longest": _on_edges(traffic.routes_by_distance, ROUTE, top=20),
+        "routes_shortest": _on_edges(traffic.routes_by_distance, ROUTE, top=20, descending=False),
         "route_lines": _route_lines,
         # seasons and load
         "flights_by_calendar_month": _on_edges(calendar, month_columns),
@@ -200,7 +205,7 @@ def queries() -> dict[str, Query]:
         # trends
         "seasonal_spikes": _on_edges(trends.seasonal_spikes, CITIES, rounded=(6, "avg_change")),
         "trend_breaks": _on_edges(trends.trend_breaks, CITIES, rounded=(6, "usual_change", "z_score")),
-        "travel_change": _on_edges(trends.travel_change, CITIES, FIRST, LAST),
+        "travel_change": _on_edges(trends.travel_change, CITIES, FIRST, LAST, years=(FIRST, LAST)),
         "population_travel_correlation": _on_edges(
             trends.population_travel_correlation,
             ("origin_population", "destination_population", "passengers", "flights"), rounded=(9, "correlation"),
@@ -216,8 +221,13 @@ def queries() -> dict[str, Query]:
             "scaled_Cancelled", "scaled_Month", "scaled_Latitude",
         ),
         "kmeans_predictions": lambda spark, sf_dir: models.flight_predictions(*_clustering_inputs(spark, sf_dir)),
-        "kmeans_silhouette": lambda spark, sf_dir: models.flight_clusters(*_clustering_inputs(spark, sf_dir)).silhouette(),
-        "kmeans_centers": lambda spark, sf_dir: models.flight_clusters(*_clustering_inputs(spark, sf_dir)).centers(),
+        "kmeans_silhouette": lambda spark, sf_dir: _rounded(
+            models.flight_clusters(*_clustering_inputs(spark, sf_dir)).silhouette(), 6, "silhouette"
+        ),
+        "kmeans_centers": lambda spark, sf_dir: _rounded(
+            models.flight_clusters(*_clustering_inputs(spark, sf_dir)).centers(), 6,
+            *CLUSTER_COLUMNS, *(f"scaled_{name}" for name in CLUSTER_COLUMNS),
+        ),
         "kmeans_cluster_sizes": lambda spark, sf_dir: models.flight_clusters(*_clustering_inputs(spark, sf_dir)).sizes(),
     }
 

@@ -1,6 +1,6 @@
 """The given TPC-H-like tables reshaped into the library's inputs.
 
-Every view is a lazy DataFrame over whole tables. A view takes the columns its reader needs and
+Every view is a lazy DataFrame over whole tables, read without running a job. A view takes the columns its reader needs and
 joins only the tables those come from: the foreign keys hold in these tables (a test checks it),
 so leaving out an unused inner join changes no row. ``years`` limits the ship dates, which
 reaches the file scan, as naming the yearly files would.
@@ -9,14 +9,13 @@ reaches the file scan, as naming the yearly files would.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import cache
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from flightlens import schemas
 from flightlens.functions import with_period
-from flightlens.operators import broadcast_if_small
 from flightlens.plans.constants import DELAY_CAUSES
 from flightlens.sources import station_locations
 
@@ -29,35 +28,36 @@ FROM_CUSTOMER = {"destinationCode", "destination_city", "destination_population"
 FROM_ORDERS = {"CancellationCode"}
 
 
-@cache
-def _schema(path: str) -> StructType:
-    """A table's schema, read from its files once per process and not once per query."""
-    return SparkSession.active().read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _code(key: str) -> Column:
     return F.concat(F.lit("N"), F.lpad(F.col(key).cast("string"), 2, "0"))
 
 
+def _shipped_in(year: int) -> Column:
+    """A range of the stored column, which reaches the file scan."""
+    start, stop = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    return (F.col("l_shipdate") >= start) & (F.col("l_shipdate") < stop)
+
+
 def _base(spark: SparkSession, sf_dir: str, columns: Iterable[str], years: Iterable[int] | None) -> DataFrame:
     """Line items with the tables that the wanted columns come from.
 
     Codes and populations are worked out on the short sides, once per supplier or customer.
     Customers are joined to orders before orders to line items, so that at scale the line items,
-    the largest table, are shuffled once less; Spark cannot tell how small that joined side is,
-    so its rows are counted. The 25 nations and, while small, the suppliers are broadcast by
-    Spark's own check of file sizes.
+    the largest table, are shuffled once less. No broadcast is hinted: Spark decides by file sizes
+    and, while running, by the bytes it has shuffled.
+
+    A table is left out where no wanted column comes from it. That takes for granted that every
+    line item has its order, customer, supplier and nations, which a test checks on these tables
+    and nothing checks while a query runs.
     """
     wanted = set(columns)
     base = table(spark, sf_dir, "lineitem")
     if years is not None:
-        span = [F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (min(years), max(years) + 1)]
-        base = base.filter((F.col("l_shipdate") >= span[0]) & (F.col("l_shipdate") < span[1]))
+        base = base.filter(reduce(or_, map(_shipped_in, years), F.lit(False)))
 
     def place(owner: str, prefix: str, end: str) -> DataFrame:
         return table(spark, sf_dir, owner).withColumns({
@@ -74,12 +74,11 @@ def _base(spark: SparkSession, sf_dir: str, columns: Iterable[str], years: Itera
         if "origin_city" in wanted:
             base = named(base, "s_nationkey", "origin_city")
     if wanted & (FROM_CUSTOMER | FROM_ORDERS):
-        orders = side = table(spark, sf_dir, "orders")
+        side = table(spark, sf_dir, "orders")
         if wanted & FROM_CUSTOMER:
-            side = orders.join(place("customer", "c", "destination"), F.col("o_custkey") == F.col("c_custkey"))
+            side = side.join(place("customer", "c", "destination"), F.col("o_custkey") == F.col("c_custkey"))
             if "destination_city" in wanted:
                 side = named(side, "c_nationkey", "destination_city")
-            side = broadcast_if_small(side, orders)
         base = base.join(side, F.col("l_orderkey") == F.col("o_orderkey"))
     return base
 

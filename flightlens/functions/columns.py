@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def with_period(edges: DataFrame) -> DataFrame:
-    """Add ``fly_year`` and ``fly_month`` as integers, from the yyyymm text ``fly_date``."""
+    """Add ``fly_year`` and ``fly_month`` as integers, from the yyyymm text ``fly_date``; null for other text."""
     return edges.withColumns({
-        "fly_year": F.substring("fly_date", 1, 4).cast("int"),
-        "fly_month": F.substring("fly_date", 5, 2).cast("int"),
+        "fly_year": F.substring("fly_date", 1, 4).try_cast("int"),
+        "fly_month": F.substring("fly_date", 5, 2).try_cast("int"),
     })
 
 
@@ -21,7 +21,7 @@ def in_years(years: Iterable[int]) -> Column:
     Written as a prefix test on the stored column, because that reaches the file scan, which a
     comparison with the derived year does not.
     """
-    return reduce(or_, (F.col("fly_date").startswith(f"{year:04d}") for year in years))
+    return reduce(or_, (F.col("fly_date").startswith(f"{year:04d}") for year in years), F.lit(False))
 
 
 def fixed_width(line: str, slices: Mapping[str, tuple[int, int, str]]) -> list[Column]:

@@ -7,24 +7,19 @@ weights, and flags, months and airport positions leave few points however many f
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import sqrt
 from operator import add
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from flightlens.operators.regression import assemble
 from flightlens.session import materialize
 
-
-def scale_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``data`` (the columns as a vector) and ``features`` (scaled to unit deviation)."""
-    rows = assemble(df, columns, "data")
-    return StandardScaler(inputCol="data", outputCol="features").fit(rows).transform(rows)
+SEEDS = (1, 2, 3)
 
 
 def scaled_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -144,20 +139,32 @@ def _deviations(points: DataFrame, columns: Sequence[str]) -> tuple[float, ...]:
     return tuple(sqrt(squares[c] / (mean["n"] - 1)) if mean["n"] > 1 else 0.0 for c in columns)
 
 
-def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, seeds: Sequence[int] = (1, 2, 3)) -> Clusters:
-    """k-means on the scaled columns: the cheapest of a few starts, clusters in order of centre.
+def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, seeds: Sequence[int] = SEEDS) -> Clusters:
+    """k-means on the scaled columns: the cheapest of a few starts, clusters in order of centre."""
+    return fit_cluster_counts(df, columns, [k], seeds)[k]
+
 
-    A single start can end in a poorer local optimum that depends on the partitioning.
+def fit_cluster_counts(
+    df: DataFrame, columns: Sequence[str], ks: Iterable[int], seeds: Sequence[int] = SEEDS,
+) -> dict[int, Clusters]:
+    """A clustering for each number of clusters, all from one count of the points.
+
+    A single start can end in a poorer local optimum that depends on the partitioning. Every fit
+    runs until no centre moves.
     """
     columns = tuple(columns)
     counted = df.select(*columns).na.drop().groupBy(*columns).agg(F.count("*").alias("weight"))
     points = materialize(counted, "counted-points")
     deviations = _deviations(points, columns)
     rows = _with_features(points, columns, deviations).select("features", "weight").persist()
-    fits = [
-        KMeans(k=k, featuresCol="features", predictionCol="prediction", weightCol="weight", seed=seed).fit(rows)
-        for seed in seeds
-    ]
+    found = {}
+    for k in ks:
+        fits = [
+            KMeans(
+                k=k, featuresCol="features", predictionCol="prediction", weightCol="weight", seed=seed, tol=0.0, maxIter=100,
+            ).fit(rows) for seed in seeds
+        ]
+        best = min(fits, key=lambda model: model.summary.trainingCost)
+        found[k] = Clusters(columns, deviations, points, best)
     rows.unpersist()
-    best = min(fits, key=lambda model: model.summary.trainingCost)
-    return Clusters(columns, deviations, points, best)
+    return found

@@ -4,9 +4,6 @@ Neither join builds a cross product, and neither hints a broadcast: which side i
 left to Spark, which compares file sizes, and at run time measured shuffle sizes, with
 ``spark.sql.autoBroadcastJoinThreshold``. Beyond it the plans are sort-merge joins on the keys
 made here, whose hot keys adaptive execution splits.
-
-``broadcast_if_small`` is for sides whose size Spark overestimates before running, such as a
-table already joined to another.
 """
 
 from __future__ import annotations
@@ -19,23 +16,13 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flightlens.functions import pieces
+from flightlens.session import materialize
 
 # Cells are wider than the band by this factor, so that rounding in the division below can never
 # put two points closer than the band more than one cell apart.
 CELL_MARGIN = 1.000001
 
 
-SMALL_ROWS = 500_000
-
-
-def broadcast_if_small(side: DataFrame, counted: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast of ``side`` if ``counted``, which bounds its rows, is within ``max_rows``.
-
-    ``counted`` should be a stored table: counting Parquet reads the file footers only.
-    """
-    return F.broadcast(side) if counted.count() <= max_rows else side
-
-
 def contains_join(
     long_df: DataFrame, long_col: str, short_df: DataFrame, short_col: str, *,
     equal: Sequence[tuple[str, str]] = (), lengths: Iterable[int] | None = None,
@@ -110,14 +97,29 @@ def band_join(
 
 def nearest(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], width: float, *,
-    key: str, candidate: str,
+    key: str, candidate: str, widest: float = 1024.0,
 ) -> DataFrame:
-    """For each ``key`` the closest ``candidate`` within the band, ties going to the smaller one.
+    """For each ``key`` of ``left``, the small side, the closest ``candidate``, ties going to the smaller one.
 
-    Kept as a running minimum per key, so no key's candidates are ever gathered or sorted.
+    A best pair of the band counts only within ``width``, as a point beside the band may be closer
+    than one in its corner. Keys without one are searched again in a band twice as wide, until
+    all have theirs or the band is wider than ``widest``; each search is a job, and the later ones
+    are for few keys. Keys or candidates with a null coordinate are left out.
     """
     gaps = [F.col(a) - F.col(b) for a, b in on]
-    apart = reduce(add, (gap * gap for gap in gaps))
-    best = F.min(F.struct(F.sqrt(apart).alias("distance"), F.col(candidate)))
-    pairs = band_join(left, right, on, width)
-    return pairs.groupBy(key).agg(best.alias("best")).select(key, "best.*")
+    apart = F.sqrt(reduce(add, (gap * gap for gap in gaps)))
+    sought = left.na.drop(subset=[a for a, _ in on])
+    found = []
+    while True:
+        # the small side is the one entered in all adjacent cells
+        pairs = materialize(band_join(right, sought, [(b, a) for a, b in on], width).select(
+            key, candidate, apart.alias("distance"),
+        ).filter(F.col("distance") < width), "near-pairs")
+        # The least distance is a hash aggregate; only the pairs that have it, the ties, are sorted.
+        best = pairs.groupBy(key).agg(F.min("distance").alias("least"))
+        tied = pairs.join(best.withColumnRenamed(key, "_key"), (F.col(key) == F.col("_key")) & (F.col("distance") == F.col("least")))
+        found.append(tied.groupBy(key, "distance").agg(F.min(candidate).alias(candidate)).select(key, "distance", candidate))
+        sought = sought.join(best, key, "left_anti")
+        if width > widest or sought.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        width *= 2

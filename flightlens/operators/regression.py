@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 Coefficients = tuple[float, list[float]]
 
-# A mean this many deviations from zero costs the sums of products too many digits.
-FAR = 100.0
 # A deviation below this share of the mean is rounding: the column is constant.
 CONSTANT = 1e-13
+# 2**n groups of missing values come to the driver.
+MOST_CANDIDATES = 12
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
@@ -69,51 +69,36 @@ class _Moments:
     spread: np.ndarray
 
 
-def _sums(df: DataFrame, columns: Sequence[str], label: str, shift: np.ndarray) -> list[_Moments]:
-    """One pass: sums and sums of products of the columns, less ``shift``, per set of missing columns.
+def _moments(df: DataFrame, columns: Sequence[str], label: str) -> list[_Moments]:
+    """One pass: means and sums of products of deviations, per set of missing columns.
 
     Each set of features drops only the rows where one of its own is null. Grouping by which
-    columns are null serves all the sets at once; n candidates give at most 2**n small rows.
+    columns are null serves all the sets at once: at most 2**n short rows for n candidates, so
+    ``MOST_CANDIDATES`` bounds them. Spark's covariances carry deviations from running means,
+    which keeps the digits of columns far from zero.
     """
+    if len(columns) > MOST_CANDIDATES:
+        raise ValueError(f"at most {MOST_CANDIDATES} candidates: their missing values make up to 2**n groups")
     names = [*columns, label]
-    value = {name: F.col(name).cast("double") - F.lit(float(s)) for name, s in zip(names, shift)}
+    value = {name: F.col(name).cast("double") for name in names}
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     missing = reduce(add, (F.col(name).isNull().cast("int") * 2**i for i, name in enumerate(columns)))
     rows = df.filter(F.col(label).isNotNull()).groupBy(missing.alias("_missing")).agg(
         F.count("*").alias("_n"),
-        *(F.sum(value[name]).alias(name) for name in names),
-        *(F.sum(value[a] * value[b]).alias(f"{a}*{b}") for a, b in pairs),
+        *(F.avg(value[name]).alias(name) for name in names),
+        *(F.covar_pop(value[a], value[b]).alias(f"{a}*{b}") for a, b in pairs),
     ).collect()
     found = []
     for row in rows:
-        means = np.array([row[name] or 0.0 for name in names]) / row["_n"]
-        products = np.zeros((len(names), len(names)))
+        spread = np.zeros((len(names), len(names)))
         for a, b in pairs:
             i, j = names.index(a), names.index(b)
-            products[i, j] = products[j, i] = row[f"{a}*{b}"] or 0.0
-        spread = products - row["_n"] * np.outer(means, means)
+            spread[i, j] = spread[j, i] = (row[f"{a}*{b}"] or 0.0) * row["_n"]
         absent = frozenset(name for i, name in enumerate(columns) if row["_missing"] & 2**i)
-        found.append(_Moments(absent, row["_n"], means + shift, spread))
+        found.append(_Moments(absent, row["_n"], np.array([row[name] or 0.0 for name in names]), spread))
     return found
 
 
-def _moments(df: DataFrame, columns: Sequence[str], label: str) -> list[_Moments]:
-    """Moments per set of missing columns, exact also for columns far from zero.
-
-    Sums of products lose digits where a mean is large beside the deviation; only then a second
-    pass takes the sums about the means found in the first.
-    """
-    names = [*columns, label]
-    found = _sums(df, columns, label, np.zeros(len(names)))
-    shift, far = np.zeros(len(names)), False
-    for i, name in enumerate(names):
-        _, mean, spread = _merged([m for m in found if name not in m.missing], [i])
-        shift[i] = mean[0]
-        n = sum(m.n for m in found if name not in m.missing)
-        far = far or (n > 0 and abs(mean[0]) > FAR * sqrt(max(spread[0, 0], 0.0) / n))
-    return _sums(df, columns, label, shift) if far else found
-
-
 def _merged(groups: Sequence[_Moments], at: Sequence[int]) -> tuple[int, np.ndarray, np.ndarray]:
     """The moments of all the groups' rows together, for the columns at some positions."""
     n, mean, spread = 0, np.zeros(len(at)), np.zeros((len(at), len(at)))

@@ -25,7 +25,13 @@ def with_ticks(
     return series.select(*kept, F.inline(rows))
 
 
-def change_from_previous(series: DataFrame, key: str, order: str, value: str, name: str = "change") -> DataFrame:
-    """Difference from the key's previous row; null in its first row."""
-    previous = F.lag(value).over(Window.partitionBy(key).orderBy(order))
-    return series.withColumn(name, F.col(value) - previous)
+def change_from_previous(series: DataFrame, key: str, month: str, value: str, name: str = "change") -> DataFrame:
+    """Difference from the month before, for a row per key and month (yyyymm text).
+
+    Null where the key has no row for the month before, the first one included, and where the
+    month is not a number.
+    """
+    number = F.substring(month, 1, 4).try_cast("int") * 12 + F.substring(month, 5, 2).try_cast("int")
+    by_month = Window.partitionBy(key).orderBy(number)
+    follows = number - F.lag(number).over(by_month) == 1
+    return series.withColumn(name, F.when(follows, F.col(value) - F.lag(value).over(by_month)))

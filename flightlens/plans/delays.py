@@ -23,7 +23,11 @@ def avg_departure_delay_by_year(facts: DataFrame) -> DataFrame:
 
 
 def facts_of_years(facts: DataFrame, years: Iterable[int]) -> DataFrame:
-    """The flights of several years, from one scan of facts that hold them all."""
+    """The flights of several years, from one scan of facts that hold them all.
+
+    ``Year`` must be a stored column for the filter to reach the scan; for files of one year each,
+    name the files, or union them (``union_by_position``).
+    """
     return facts.filter(F.col("Year").isin(*years))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-from flightlens.operators.clustering import Clusters, fit_clusters, scaled_columns
+from flightlens.operators.clustering import Clusters, fit_cluster_counts, fit_clusters, scaled_columns
 from flightlens.operators.regression import best_features, feature_search, fit_linear, least_squares, model_report
 from flightlens.plans.constants import (
     CLUSTER_COLUMNS,
@@ -52,6 +52,11 @@ def flight_clusters(flights: DataFrame, airports: DataFrame, k: int = CLUSTER_CO
     return fit_clusters(_clustered_flights(flights, airports), CLUSTER_COLUMNS, k)
 
 
+def flight_cluster_counts(flights: DataFrame, airports: DataFrame, ks: Iterable[int]) -> dict[int, Clusters]:
+    """Clusterings of the same flights into several numbers of clusters, from one pass over them."""
+    return fit_cluster_counts(_clustered_flights(flights, airports), CLUSTER_COLUMNS, ks)
+
+
 def flight_predictions(flights: DataFrame, airports: DataFrame, k: int = CLUSTER_COUNT) -> DataFrame:
     """Flights with the number of their cluster."""
     rows = _clustered_flights(flights, airports)

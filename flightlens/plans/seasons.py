@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flightlens.functions import in_years
 from flightlens.operators import ratio_by, total_by
 
 
 def flights_by_calendar_month(edges: DataFrame, year: int | None = None, *, by_total: bool = False) -> DataFrame:
-    """Flights per calendar month, over all years or in one, by month or by total (fewest first)."""
+    """Flights per calendar month, over all years or in one, by month, or numbered by total (fewest first)."""
     kept = edges if year is None else edges.filter(in_years([year]))
     totals = total_by(kept, "fly_month", name="total_flights")
-    return totals.orderBy("total_flights", "fly_month") if by_total else totals.orderBy("fly_month")
+    if not by_total:
+        return totals.orderBy("fly_month")
+    order = Window.partitionBy(F.lit(0)).orderBy("total_flights", "fly_month")  # of twelve rows
+    return totals.withColumn("place", F.row_number().over(order)).orderBy("place")
 
 
 def passengers_per_flight_by_year(edges: DataFrame) -> DataFrame:

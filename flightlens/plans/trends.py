@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from flightlens.functions import in_years
 from flightlens.operators import change_from_previous, place_traffic
 from flightlens.plans.constants import FIRST_YEAR, LAST_YEAR
 
@@ -12,12 +13,12 @@ TRAVEL = ("passengers", "flights")
 
 
 def _monthly_change(edges: DataFrame) -> DataFrame:
-    """Change of each city's traffic from the month before; a city has one row per month."""
+    """Change of each city's traffic from the month before, null where that month has no traffic."""
     months = place_traffic(edges, "origin_city", "destination_city", "fly_date")
     flights = F.coalesce("flightsFrom", F.lit(0)) + F.coalesce("flightsTo", F.lit(0))
     totals = months.select(F.col("place").alias("city"), "fly_date", flights.alias("flights"))
     changes = change_from_previous(totals, "city", "fly_date", "flights")
-    return changes.withColumn("fly_month", F.substring("fly_date", 5, 2).cast("int"))
+    return changes.withColumn("fly_month", F.substring("fly_date", 5, 2).try_cast("int"))
 
 
 def seasonal_spikes(edges: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def trend_breaks(edges: DataFrame, threshold: float = 2.0) -> DataFrame:
 def travel_change(edges: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     """Traffic per city in two years and the difference, biggest gain first."""
     years = place_traffic(
-        edges.filter(F.col("fly_year").isin(first, last)), "origin_city", "destination_city", "fly_year"
+        edges.filter(in_years((first, last))), "origin_city", "destination_city", "fly_year"
     )
     flights = F.coalesce("flightsFrom", F.lit(0)) + F.coalesce("flightsTo", F.lit(0))
 

@@ -20,31 +20,40 @@ def weather_with_location(observations: DataFrame, stations: DataFrame) -> DataF
     return observations.na.drop().distinct().join(stations.na.drop().distinct(), "stationCode")
 
 
-def temperature_and_rain(located: DataFrame, box: dict[str, float] | None = None) -> DataFrame:
+def temperature_and_rain(
+    observations: DataFrame, stations: DataFrame, box: dict[str, float] | None = None
+) -> DataFrame:
     """Temperature and rain of the same station and day side by side, inside a box.
 
-    Several readings of a kind on one day all pair up, so this is a join and not a pivot. Each
-    side scans ``located`` for its own kind only; for raw text files, where a scan cannot skip,
-    pass a written copy of it.
+    Several readings of a kind on one day all pair up, so this is a join and not a pivot. Both
+    inputs are read once: the stations with a place in the box, a small table, and the complete
+    readings of the two kinds at those stations are summaries that the two sides share.
     """
-    box = WEATHER_BOX if box is None else box
+    inside = in_box("lat", "long", **(WEATHER_BOX if box is None else box))
+    complete = materialize(stations.na.drop().distinct(), "complete-stations")
+    places = complete.join(complete.filter(inside).select("stationCode"), "stationCode", "left_semi")
+    both = observations.filter(F.col("observationType").isin(TEMPERATURE, RAIN)).na.drop()
+    at_places = both.join(places.select("stationCode"), "stationCode", "left_semi").distinct()
+    located = materialize(at_places.join(places, "stationCode"), "located-readings")
 
     def readings(kind: str, name: str, *more: str) -> DataFrame:
         kept = located.filter(F.col("observationType") == kind)
         return kept.select("stationCode", "doy", F.col("observationVal").alias(name), *more)
 
-    rain = readings(RAIN, "precip", "lat", "long").filter(in_box("lat", "long", **box))
+    rain = readings(RAIN, "precip", "lat", "long").filter(inside)
     wide = readings(TEMPERATURE, "temperature").join(rain, ["stationCode", "doy"])
     return wide.select("stationCode", "doy", "precip", "temperature", "lat", "long")
 
 
 def airports_near_stations(airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
     """Distinct complete pairs of airport and station closer than the band on both axes."""
-    return band_join(airports.na.drop().distinct(), stations.na.drop().distinct(), BAND, width)
+    ports, places = airports.na.drop().distinct(), stations.na.drop().distinct()
+    near = band_join(places, ports, [(place, port) for port, place in BAND], width)  # the few airports are copied
+    return near.select(*airports.columns, *stations.columns)
 
 
 def nearest_station(airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
-    """For each airport the closest station within the band, with the distance in degrees."""
+    """For each airport the closest station, with the distance in degrees; the search begins within the band."""
     ports = airports.select("IATA", "Longitude", "Latitude")
     places = stations.select("stationCode", "long", "lat")
     return nearest(ports, places, BAND, width, key="IATA", candidate="stationCode")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +24,9 @@ def session(app_name: str = "flightlens", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flightlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``, which all executors reach, if it is set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +34,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     A written table outlives lost executors, and its file size is known exactly, so Spark's own
     broadcast threshold decides correctly whether the summary is small enough to broadcast.
+    Where no shared folder is set, Spark keeps the summary itself: it is worked out by the first
+    branch that needs it, and what a lost executor held is worked out again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = shared_folder(spark)
+    if folder is None:
+        return df.persist()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -108,12 +108,13 @@ NEAR = """complete_airports AS (
   SELECT DISTINCT a.*, s.* FROM complete_airports a JOIN stations s
     ON abs(a."Longitude" - s.long) < 3.0E0 AND abs(a."Latitude" - s.lat) < 3.0E0
 ), closest AS (
+  -- the least of all pairs, whatever their distance
   SELECT "IATA", stationCode, distance FROM (
     SELECT "IATA", stationCode,
            sqrt(("Longitude" - long) * ("Longitude" - long) + ("Latitude" - lat) * ("Latitude" - lat)) AS distance,
            row_number() OVER (PARTITION BY "IATA" ORDER BY
              ("Longitude" - long) * ("Longitude" - long) + ("Latitude" - lat) * ("Latitude" - lat), stationCode) AS n
-    FROM near) WHERE n = 1
+    FROM complete_airports, stations WHERE lat IS NOT NULL AND long IS NOT NULL) WHERE n = 1
 )"""
 
 TRAFFIC = f"""{EDGES}, departures AS (
@@ -130,8 +131,11 @@ CHANGES = f"""{EDGES}, ends AS (
   UNION ALL SELECT destination_city, fly_date, fly_month, flights FROM edges
 ), monthly AS (
   SELECT city, fly_date, fly_month, sum(flights) AS flights FROM ends GROUP BY ALL
+), numbered AS (
+  SELECT *, CAST(left(fly_date, 4) AS INTEGER) * 12 + fly_month AS month_number FROM monthly
 ), changes AS (
-  SELECT *, CAST(flights - lag(flights) OVER (PARTITION BY city ORDER BY fly_date) AS BIGINT) AS change FROM monthly
+  SELECT m.city, m.fly_date, m.fly_month, m.flights, CAST(m.flights - before.flights AS BIGINT) AS change
+  FROM numbered m LEFT JOIN numbered before ON before.city = m.city AND before.month_number = m.month_number - 1
 )"""
 
 
@@ -168,6 +172,11 @@ def _calendar(where: str) -> str:
 SELECT fly_month, CAST(sum(flights) AS BIGINT) AS total_flights FROM edges WHERE {where} GROUP BY fly_month"""
 
 
+def _calendar_places(year: int) -> str:
+    totals = _calendar(f"fly_year = {year}")
+    return f"""SELECT *, CAST(row_number() OVER (ORDER BY total_flights, fly_month) AS INTEGER) AS place FROM ({totals})"""
+
+
 def _period(period: str) -> str:
     return f"""WITH {FACTS}
 SELECT CAST(date_trunc('{period}', make_date("Year", "Month", "DayofMonth")) AS DATE) AS period_start,
@@ -254,6 +263,51 @@ AIRPORT_FLIGHTS = f"""{FACTS}, {AIRPORTS}, airport_flights AS (
 )"""
 
 
+CLUSTERED = f"""{AIRPORTS}, origins AS (
+  SELECT s_suppkey, "Latitude" FROM supplier JOIN airports ON contains("IATA", {_code('s_nationkey')})
+  WHERE "Longitude" < -70 AND "Longitude" > -150 AND "Latitude" > 20
+), kept AS MATERIALIZED (
+  SELECT CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1 ELSE 0 END AS "Cancelled",
+         CAST(month(l_shipdate) AS INTEGER) AS "Month", "Latitude"
+  FROM lineitem JOIN origins ON l_suppkey = s_suppkey
+), deviations AS (
+  SELECT stddev_samp("Cancelled") AS c, stddev_samp("Month") AS m, stddev_samp("Latitude") AS l FROM kept)"""
+
+# Two clusters: Lloyd's steps from the halves by each axis, 60 of them (the last ones move nothing), and
+# the cheapest of the three ends.
+CLUSTERS = f"""WITH RECURSIVE {CLUSTERED}, points AS MATERIALIZED (
+  SELECT "Cancelled", "Month", "Latitude", "Cancelled" / any_value(c) AS x, "Month" / any_value(m) AS y, "Latitude" / any_value(l) AS z,
+         count(*) AS w FROM kept, deviations GROUP BY "Cancelled", "Month", "Latitude"
+), middles AS (
+  SELECT sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * z) / sum(w) AS mz FROM points
+), halves AS (
+  SELECT 1 AS start, x < mx AS low, x, y, z, w FROM points, middles
+  UNION ALL SELECT 2, y < my, x, y, z, w FROM points, middles
+  UNION ALL SELECT 3, z < mz, x, y, z, w FROM points, middles
+), steps AS (
+  SELECT start, 0 AS step, sum(w * x) FILTER (low) / sum(w) FILTER (low) AS ax, sum(w * y) FILTER (low) / sum(w) FILTER (low) AS ay,
+         sum(w * z) FILTER (low) / sum(w) FILTER (low) AS az, sum(w * x) FILTER (NOT low) / sum(w) FILTER (NOT low) AS bx,
+         sum(w * y) FILTER (NOT low) / sum(w) FILTER (NOT low) AS b_y, sum(w * z) FILTER (NOT low) / sum(w) FILTER (NOT low) AS bz
+  FROM halves GROUP BY start
+  UNION ALL
+  SELECT start, step + 1, sum(w * x) FILTER (low) / sum(w) FILTER (low), sum(w * y) FILTER (low) / sum(w) FILTER (low),
+         sum(w * z) FILTER (low) / sum(w) FILTER (low), sum(w * x) FILTER (NOT low) / sum(w) FILTER (NOT low),
+         sum(w * y) FILTER (NOT low) / sum(w) FILTER (NOT low), sum(w * z) FILTER (NOT low) / sum(w) FILTER (NOT low)
+  FROM (SELECT s.*, x, y, z, w, (x - ax)**2 + (y - ay)**2 + (z - az)**2 <= (x - bx)**2 + (y - b_y)**2 + (z - bz)**2 AS low
+        FROM steps s, points WHERE step < 60) GROUP BY start, step
+), ends AS (
+  SELECT start, ax, ay, az, bx, b_y, bz, sum(w * least((x - ax)**2 + (y - ay)**2 + (z - az)**2, (x - bx)**2 + (y - b_y)**2 + (z - bz)**2)) AS cost
+  FROM steps, points WHERE step = 60 GROUP BY ALL ORDER BY cost, start LIMIT 1
+), centers AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY x, y, z) - 1 AS INTEGER) AS prediction, x, y, z
+  FROM (SELECT ax AS x, ay AS y, az AS z FROM ends UNION ALL SELECT bx, b_y, bz FROM ends)
+), spots AS MATERIALIZED (
+  SELECT p."Cancelled", p."Month", p."Latitude", p.x, p.y, p.z, p.w,
+         arg_min(t.prediction, (p.x - t.x)**2 + (p.y - t.y)**2 + (p.z - t.z)**2) AS prediction
+  FROM points p, centers t GROUP BY ALL
+)"""
+
+
 def _wide(start: int, length: int) -> str:
     return f"""WITH {OBSERVATIONS}, {_stations(start, length)}, {LOCATED}
 SELECT t.stationCode, t.doy, p.observationVal AS precip, t.observationVal AS temperature, p.lat, p.long
@@ -329,7 +383,7 @@ FROM pairs""",
         "delay_temperature_model": _model(PAIRS, "pairs", ("origin_temperature", "destination_temperature"), "delay"),
         # one airport
         "focus_flights_by_year": _focus(both, "fly_year"),
-        "focus_flights_by_month": _focus(both, "fly_date"),
+        "focus_flights_by_month": _focus(both, "fly_date") + " ORDER BY number_of_flights DESC, fly_date LIMIT 20",
         "focus_month_histogram": _focus(both, "fly_date"),
         "focus_month_series": f"""WITH {EDGES}, months AS (
   SELECT fly_date, CAST(row_number() OVER (ORDER BY fly_date) - 1 AS INTEGER) AS month_index,
@@ -360,8 +414,8 @@ ORDER BY flights, origin_city, fly_date LIMIT 20""",
         "contains_join_airports": f"""WITH {EDGES}, {AIRPORTS}, totals AS (
   SELECT origin_city, CAST(sum(flights) AS BIGINT) AS number_of_flights FROM edges GROUP BY 1)
 SELECT t.*, a.* FROM totals t JOIN airports a ON contains(t.origin_city, a."City")""",
-        "routes_longest": _routes(),
-        "routes_shortest": _routes(),
+        "routes_longest": f"{_routes()} ORDER BY distance DESC, origin_city, destination_city LIMIT 20",
+        "routes_shortest": f"{_routes()} ORDER BY distance, origin_city, destination_city LIMIT 20",
         "route_lines": f"""WITH {EDGES}, {AIRPORTS}
 SELECT e.originCode, e.destinationCode, e.fly_year, CAST(sum(e.flights) AS BIGINT) AS flights,
        o."Latitude" AS origin_lat, o."Longitude" AS origin_long,
@@ -371,8 +425,8 @@ FROM edges e JOIN airports o ON e.originCode = o."IATA" JOIN airports d ON e.des
         "flights_by_calendar_month": _calendar("true"),
         "flights_by_calendar_month_first_year": _calendar(f"fly_year = {FIRST}"),
         "flights_by_calendar_month_last_year": _calendar(f"fly_year = {LAST}"),
-        "calendar_months_by_total_first_year": _calendar(f"fly_year = {FIRST}"),
-        "calendar_months_by_total_last_year": _calendar(f"fly_year = {LAST}"),
+        "calendar_months_by_total_first_year": _calendar_places(FIRST),
+        "calendar_months_by_total_last_year": _calendar_places(LAST),
         "passengers_by_year": f"""WITH {EDGES}
 SELECT fly_year, CAST(sum(passengers) AS BIGINT) AS passengers FROM edges GROUP BY 1""",
         "passengers_per_flight_by_year": f"""WITH {EDGES}
@@ -406,10 +460,24 @@ SELECT *, last_year_flights - first_year_flights AS change FROM totals""",
         "lr_best_features": f"""{_feature_search()} SELECT features, round(mae, 6) AS mae FROM searched
 ORDER BY searched.mae, features LIMIT 1""",
         "lr_model_fit": _model(EDGES, "edges", ("origin_population", "distance", "passengers"), "flights"),
-        "scaled_features": f"""WITH {AIRPORT_FLIGHTS}, kept AS (
-  SELECT "Cancelled", "Month", "Latitude" FROM airport_flights)
-SELECT "Cancelled", "Month", "Latitude",
-       round("Cancelled" / (SELECT stddev_samp("Cancelled") FROM kept), 6) AS "scaled_Cancelled",
-       round("Month" / (SELECT stddev_samp("Month") FROM kept), 6) AS "scaled_Month",
-       round("Latitude" / (SELECT stddev_samp("Latitude") FROM kept), 6) AS "scaled_Latitude" FROM kept""",
+        "scaled_features": f"""WITH {CLUSTERED}
+SELECT "Cancelled", "Month", "Latitude", round("Cancelled" / c, 6) AS "scaled_Cancelled",
+       round("Month" / m, 6) AS "scaled_Month", round("Latitude" / l, 6) AS "scaled_Latitude" FROM kept, deviations""",
+        "kmeans_centers": f"""{CLUSTERS}
+SELECT prediction, round(x, 6) AS "scaled_Cancelled", round(y, 6) AS "scaled_Month", round(z, 6) AS "scaled_Latitude",
+       round(x * c, 6) AS "Cancelled", round(y * m, 6) AS "Month", round(z * l, 6) AS "Latitude" FROM centers, deviations""",
+        "kmeans_cluster_sizes": f"""{CLUSTERS}
+SELECT prediction, CAST(sum(w) AS BIGINT) AS members FROM spots GROUP BY prediction""",
+        "kmeans_predictions": f"""{CLUSTERS}
+SELECT kept.*, prediction FROM kept JOIN spots USING ("Cancelled", "Month", "Latitude")""",
+        "kmeans_silhouette": f"""{CLUSTERS}, clusters AS (
+  SELECT prediction AS p, sum(w) AS n, sum(w * (x * x + y * y + z * z)) AS norms, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * z) AS sz
+  FROM spots GROUP BY prediction
+), apart AS (  -- the mean squared distance of a spot to all members of a cluster, itself included
+  SELECT s.*, p, n, x * x + y * y + z * z + norms / n - 2 * (x * sx + y * sy + z * sz) / n AS d FROM spots s, clusters
+), scored AS (
+  SELECT any_value(w) AS w, min(d * n / nullif(n - 1, 0)) FILTER (WHERE p = prediction) AS own, min(d) FILTER (WHERE p <> prediction) AS other
+  FROM apart GROUP BY "Cancelled", "Month", "Latitude"
+)
+SELECT 2 AS k, round(sum(w * coalesce((other - own) / greatest(own, other), 0)) / sum(w), 6) AS silhouette FROM scored""",
     }

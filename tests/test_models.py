@@ -5,13 +5,15 @@ import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from flightlens import fixtures as fx
-from flightlens.operators.clustering import fit_clusters, scale_features, scaled_columns
+from flightlens.operators.clustering import fit_clusters, scaled_columns
 from flightlens.operators.regression import (
+    assemble,
     best_features,
     feature_search,
     fit_linear,
@@ -22,6 +24,12 @@ from flightlens.operators.regression import (
 from flightlens.plans.constants import REGRESSION_CANDIDATES
 
 
+def scale_features(df, columns):
+    """Spark ML's own scaling: ``data`` (the columns as a vector) and ``features`` (to unit deviation)."""
+    rows = assemble(df, columns, "data")
+    return StandardScaler(inputCol="data", outputCol="features").fit(rows).transform(rows)
+
+
 @pytest.fixture(scope="module")
 def edges(spark, tables):
     return fx.flight_edges(spark, tables, (*REGRESSION_CANDIDATES, "flights")).persist()
@@ -142,3 +150,12 @@ def test_flight_clusters(spark, tables):
     )
     assert clusters.model.summary.trainingCost <= plain * 1.01
     assert -1 <= clusters.silhouette().first().silhouette <= 1
+
+
+def test_several_counts_of_clusters_from_one_count_of_points(spark, monkeypatch):
+    from flightlens.operators import clustering
+    calls = []
+    monkeypatch.setattr(clustering, "materialize", lambda df, name: calls.append(name) or df.persist())
+    found = clustering.fit_cluster_counts(_blobs(spark), ("x", "y"), (2, 3))
+    assert calls == ["counted-points"] and {k: len(c.scaled_centers()) for k, c in found.items()} == {2: 2, 3: 3}
+    assert sorted(r.members for r in found[2].sizes().collect()) == [60, 60]

@@ -6,11 +6,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from flightlens import fixtures as fx
 from flightlens.functions import in_box, in_years, pieces, with_period
 from flightlens.operators import (
     band_join,
-    broadcast_if_small,
+    change_from_previous,
     contains_join,
     distinct_ranked,
     nearest,
@@ -44,6 +45,22 @@ def test_period_columns(spark):
     assert _rows(rows.select("fly_year", "fly_month")) == [(1990, 1), (2008, 12)]
 
 
+def test_malformed_periods_are_null(spark):
+    rows = with_period(spark.createDataFrame([("NA",), ("19x012",), ("1990",), (None,), ("199005",)], "fly_date STRING"))
+    got = {r.fly_date: (r.fly_year, r.fly_month) for r in rows.collect()}
+    assert got == {"NA": (None, None), "19x012": (None, 12), "1990": (1990, None), None: (None, None), "199005": (1990, 5)}
+    assert rows.filter(in_years([])).count() == 0
+
+
+def test_change_is_from_the_month_before(spark):
+    """A month that is missing leaves a gap; the change over it is not a change of one month."""
+    months = [("a", "199001", 10), ("a", "199012", 100), ("a", "199101", 130), ("a", "NA", 5), ("b", "199101", 7), ("b", "199102", 3)]
+    rows = change_from_previous(spark.createDataFrame(months, "city STRING, fly_date STRING, n INT"), "city", "fly_date", "n")
+    assert {(r.city, r.fly_date): r.change for r in rows.collect()} == {
+        ("a", "199001"): None, ("a", "199012"): None, ("a", "199101"): 30, ("a", "NA"): None, ("b", "199101"): None, ("b", "199102"): -4,
+    }
+
+
 def test_year_prefix_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "dates")
     spark.createDataFrame([("199001",), ("200812",), ("199112",)], "fly_date STRING").write.parquet(path)
@@ -205,12 +222,6 @@ def test_no_nested_loop_or_product(spark):
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
-def test_broadcast_only_when_small(spark):
-    table = spark.range(100)
-    assert "ResolvedHint" in broadcast_if_small(table, table)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(table, table, 99)._jdf.queryExecution().analyzed().toString()
-
-
 # band join
 
 def _points(spark, rows, names):
@@ -273,7 +284,27 @@ def test_nearest_breaks_ties_by_name(spark):
     left = _points(spark, [(0, 0), (50, 50)], "i INT, x DOUBLE, y DOUBLE")
     right = _points(spark, [(1, 0), (0, 1), (2, 2)], "j INT, u DOUBLE, v DOUBLE")
     got = nearest(left, right, [("x", "u"), ("y", "v")], 3.0, key="i", candidate="j")
-    assert _rows(got.select("i", "j", "distance")) == [(0, 0, 1.0)]
+    assert _rows(got.select("i", "j")) == [(0, 0), (1, 2)]
+    assert {r.i: round(r.distance, 6) for r in got.collect()} == {0: 1.0, 1: round(48 * 2**0.5, 6)}
+
+
+@pytest.mark.parametrize("seed,width", [(1, 3.0), (2, 0.5), (3, 40.0)])
+def test_nearest_equals_all_pairs(spark, seed, width):
+    """Points inside, in the corners of, beside and far beyond the band, with ties."""
+    rng = random.Random(seed)
+    lefts = [(rng.randint(-60, 60), rng.randint(-60, 60)) for _ in range(25)] + [(500, 500)]
+    rights = [(rng.randint(-40, 40), rng.randint(-40, 40)) for _ in range(40)]
+    found = nearest(
+        _points(spark, lefts, "i INT, x DOUBLE, y DOUBLE"), _points(spark, rights, "j INT, u DOUBLE, v DOUBLE"),
+        [("x", "u"), ("y", "v")], width, key="i", candidate="j",
+    )
+    wanted = {i: min(((a - c) ** 2 + (b - d) ** 2, j) for j, (c, d) in enumerate(rights)) for i, (a, b) in enumerate(lefts)}
+    assert {r.i: r.j for r in found.collect()} == {i: j for i, (_, j) in wanted.items()}
+
+
+def test_nearest_without_candidates(spark):
+    left, none = _points(spark, [(0, 0)], "i INT, x DOUBLE, y DOUBLE"), spark.createDataFrame([], "j INT, u DOUBLE, v DOUBLE")
+    assert nearest(left, none, [("x", "u"), ("y", "v")], 3.0, key="i", candidate="j").count() == 0
 
 
 # the given tables
@@ -294,3 +325,28 @@ def test_years_reach_the_scan(spark, tables):
     plan = _plan(fx.flight_edges(spark, tables, ["fly_date", "flights"], [1995]))
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
     assert "ReadSchema: struct<l_linenumber:int,l_shipdate:timestamp_ntz>" in plan
+
+
+@pytest.fixture()
+def whole_plans(spark):
+    """Pushed filters are cut off after a hundred characters else."""
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "3000")
+    yield
+    spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
+@pytest.mark.parametrize("name", ["travel_change", "focus_inbound_city_year_first_last", "focus_outbound_city_year_first_last"])
+def test_two_years_are_two_ranges_of_the_scan(spark, tables, name, whole_plans):
+    plan = _plan(registered.queries()[name](spark, tables))
+    scans = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
+    assert scans
+    for scan in scans:
+        assert all(f"l_shipdate,{year}-01-01" in scan for year in (1995, 1996, 2001, 2002)) and "Or(" in scan
+
+
+def test_union_of_years_reads_each_year_once(spark, tables, whole_plans):
+    plan = _plan(registered.queries()["union_years"](spark, tables))
+    scans = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
+    assert len(scans) == 7 and "Union" in plan
+    assert all(f"l_shipdate,{1995 + i}-01-01" in scan and f"l_shipdate,{1996 + i}-01-01" in scan for i, scan in enumerate(scans))

@@ -1,9 +1,13 @@
 """Rules of single reports on hand-made rows, and the shape of all physical plans."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from flightlens import session as session_module
+from flightlens.operators import clustering, joins
 from flightlens.plans import delays, focus, seasons, traffic, trends, weather
 from flightlens.session import materialize, shared_folder
 
@@ -85,9 +89,8 @@ def test_weather_needs_a_time_and_pairs_all_readings(spark):
         ("S2", 20070101, "TOBS", 60, 700), ("S2", 20070101, "PRCP", 0, 700), ("S3", 20070101, "TOBS", 1, 1),
     ], "stationCode STRING, doy INT, observationType STRING, observationVal INT, observationTime INT")
     stations = spark.createDataFrame([("S1", 30.0, -98.0), ("S2", 30.0, -131.0)], "stationCode STRING, lat DOUBLE, long DOUBLE")
-    located = weather.weather_with_location(observations, stations)
-    assert located.count() == 6
-    wide = weather.temperature_and_rain(located)
+    assert weather.weather_with_location(observations, stations).count() == 6
+    wide = weather.temperature_and_rain(observations, stations)
     assert sorted((r.temperature, r.precip) for r in wide.collect()) == [(50, 1), (50, 2), (52, 1), (52, 2)]
     assert wide.columns == ["stationCode", "doy", "precip", "temperature", "lat", "long"]
 
@@ -113,9 +116,52 @@ def test_materialize_writes_to_the_shared_folder(spark):
     assert all(path.startswith(f"file://{folder}/numbers-") for path in kept.inputFiles())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
-def test_plans(spark, tables, name):
-    """No cross product, no nested loop and no Python in any registered query."""
-    plan = registered.queries()[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
-    for word in ("Cartesian", "NestedLoop", "Python", "ArrowEval", "InPandas"):
-        assert word not in plan
+LIBRARY = sorted(set(registered.queries()) - set(registered.LLM_QUERIES))
+MATERIALIZING = (joins, clustering, traffic, weather)
+
+
+@pytest.mark.parametrize("name", LIBRARY)
+def test_plans(spark, tables, name, monkeypatch):
+    """No cross product, no nested loop and no Python in any query of the library, nor below its summaries."""
+    seen = []
+
+    def noted(df, label):
+        kept = materialize(df, label)
+        seen.append(df)
+        return kept
+
+    for module in MATERIALIZING:
+        monkeypatch.setattr(module, "materialize", noted)
+    out = registered.queries()[name](spark, tables)
+    out.write.format("noop").mode("overwrite").save()
+    for df in (*seen, out):
+        df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for word in ("Cartesian", "NestedLoop", "Python", "ArrowEval", "InPandas"):
+            assert word not in plan
+
+
+def test_every_user_of_materialize_is_inspected():
+    import flightlens
+    users = {p.stem for p in Path(flightlens.__file__).parent.rglob("*.py") if "llm" not in p.parts and "materialize(" in p.read_text()}
+    assert users - {"session"} == {module.__name__.rpartition(".")[2] for module in MATERIALIZING}
+
+
+@pytest.mark.parametrize("name", ["traffic_by_city_month", "weather_daily_wide", "nearest_station", "delays_with_temperatures", "kmeans_cluster_sizes"])
+def test_same_rows_without_a_shared_folder(spark, tables, name, monkeypatch):
+    query = registered.queries()[name]
+    wanted = sorted(map(str, query(spark, tables).collect()))
+    for module in (session_module,):
+        monkeypatch.setattr(module, "shared_folder", lambda spark: None)
+    got = query(spark, tables)
+    assert sorted(map(str, got.collect())) == wanted
+    spark.catalog.clearCache()
+
+
+def test_summaries_read_the_weather_once(spark, tables, monkeypatch):
+    seen = []
+    monkeypatch.setattr(weather, "materialize", lambda df, label: seen.append((label, df)) or materialize(df, label))
+    out = registered.queries()["weather_daily_wide"](spark, tables)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("events.parquet")
+    assert [label for label, _ in seen] == ["complete-stations", "located-readings"]
+    assert [scans(df) for _, df in seen] == [1, 1] and scans(out) == 0
