@@ -6,7 +6,7 @@ cost as negatives, less the share that toxic ones among them must have, and neve
 a flexible model would drive it below zero (Kiryo et al., 2017). Where that part is negative, the step
 goes against it.
 
-A text is the set of its words and of the four- and five-letter strings in them, hashed; one insult in
+A text is the set of its words and of the strings of four and five letters in them, word starts marked, hashed; one insult in
 a long text counts as in a short one. Each of ``SHARDS`` tasks gets a share of a sample of bounded size,
 keeps the ``KEPT`` features most over-represented among its toxic texts, and trains a logistic model
 with numpy; the sum of their sparse weights scores all texts. What reaches the driver is at most
@@ -50,13 +50,14 @@ def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray
     shift = np.uint64(64 - bits)
     found = []
     with np.errstate(over="ignore"):
-        mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        rolling, inside = mixed, letter
+        mixed = (np.where(letter, codes, 32).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        # strings of letters; the first place may be the space before a word
+        rolling, inside = mixed, np.ones(len(codes), bool)
         for length in range(2, max(GRAMS) + 1):
             rolling = rolling[:-1] * np.uint64(0x100000001B3) + mixed[length - 1:]
             inside = inside[:-1] & letter[length - 1:]
             if length in GRAMS:
-                found.append((owner[:len(inside)][inside], (rolling[inside] ^ rolling[inside] >> np.uint64(31)) * np.uint64(length * 2 + 1) * np.uint64(0xBF58476D1CE4E5B9) >> shift))
+                found.append((owner[:len(inside)][inside], _places(rolling[inside], 2 * length + 1, shift)))
         # a word's hash: the sum over its letters of letter times a power of its place
         edge = np.diff(letter.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
         starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -65,13 +66,18 @@ def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray
             place = np.arange(len(codes)) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(codes)]])))
             powers = np.cumprod(np.full(WORD_LIMIT + 1, 0xD6E8FEB86659FD93, np.uint64))
             terms = np.where(letter, mixed * powers[np.minimum(place, WORD_LIMIT)], np.uint64(0))
-            sums = np.add.reduceat(terms, starts)
-            found.append((owner[starts][some], (sums ^ sums >> np.uint64(29))[some] * np.uint64(0x94D049BB133111EB) >> shift))
-    keys = np.concatenate([who.astype(np.int64) << bits | what.astype(np.int64) for who, what in found])
+            found.append((owner[starts][some], _places(np.add.reduceat(terms, starts)[some], 1, shift)))
+    keys = np.concatenate([who << bits | what for who, what in found])
     keys = pd.unique(keys)
     return keys >> bits, keys & ((1 << bits) - 1)
 
 
+def _places(hashes: np.ndarray, kind: int, shift: np.uint64) -> np.ndarray:
+    """Feature numbers: the highest bits of the hashes mixed with the kind of feature."""
+    mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9 * kind % (1 << 64) | 1)
+    return ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB) >> shift).astype(np.int64)
+
+
 def train_nnpu(
     who: np.ndarray, what: np.ndarray, n_texts: int, n_features: int, positive: np.ndarray, prior: float, rounds: int = ROUNDS,
     rate: float = 0.05, decay: float = 1e-4,
