@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +14,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application, as ``--py-files`` would.
+
+    The archive lies in the driver's own temporary folder; Spark hands it to each executor.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="flightlens-")) / "flightlens.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -34,6 +56,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there and outlives executors."""
+    ship(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -41,6 +64,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the named columns, so that no other column of ``docs`` can clash with an operator's own."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
 
 
