@@ -245,7 +245,8 @@ def similar_to_kept(
     )
     texts = id_and_text(docs, id_col, text_col).select("doc_id", whole().alias("text"), F.xxhash64(whole()).alias("tie"))
     rows = written(texts.join(grouped, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("of"))).select("doc_id", "tie", "root", "stays", "text"), "members")
-    first = rows.where("stays").select("root", F.col("text").alias("first")).dropDuplicates(["root"])
+    # Written, so that the join's large groups are split: adaptive execution leaves a side it has aggregated alone.
+    first = written(rows.where("stays").select("root", F.col("text").alias("first")).dropDuplicates(["root"]), "first")
     compared = rows.where("NOT stays").join(first, "root")
     return compared.where(similarity(words)("text", "first") >= similar).select("doc_id", "tie").distinct()
 
