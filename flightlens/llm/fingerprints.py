@@ -8,7 +8,7 @@ check agrees holds one digest, which is taken out of its three cells, and so on
 
 Where that fails, there are too many differences for the table, and a larger one is tried: the digests are
 dealt by two more of their bits to four tables of the same size, of which only those that fail go on
-to the next size. Each round is one job over a table written to the shared folder; digests are 64-bit
+to the next size. Each larger round is one job over a table written to the shared folder; digests are 64-bit
 and distinct, so rounds end, and nothing is given up.
 
 Everything is SQL functions on arrays within a row. Texts are shuffled once, into slices of doc_id of
@@ -36,21 +36,22 @@ DIGESTS = r"""array_distinct(transform(
   flatten(transform(split({text}, '\n', -1), l -> IF(length(l) > {long}, split(l, '(?<=[.!?])\\x20', -1), array(l)))),
   p -> xxhash64(p)))"""
 
-# In a cell: n digests, x their exclusive or, c that of their checks.
-CELLS = """transform(sequence(0, 23), i -> transform(
-  array(filter({digests}, d -> (shiftrightunsigned(d, 8 * (i div 8)) & 7) = i % 8)),
-  own -> named_struct('n', size(own), 'x', aggregate(own, 0L, (s, d) -> s ^ d), 'c', aggregate(own, 0L, (s, d) -> s ^ xxhash64(d))))[0])"""
+# In a cell: n digests, x their exclusive or, c that of their checks; s and r tell which digests it takes.
+CELLS = """flatten(transform(array(0, 8, 16), s -> transform(array(0, 1, 2, 3, 4, 5, 6, 7), r -> transform(
+  array(filter({digests}, d -> (shiftrightunsigned(d, s) & 7) = r)),
+  own -> named_struct('n', size(own), 'x', aggregate(own, 0L, (a, d) -> a ^ d),
+                      'c', aggregate(own, 0L, (a, d) -> a ^ xxhash64(d)), 's', s, 'r', r))[0])))"""
 
-SUBTRACTED = "zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x, 'c', p.c ^ q.c))"
+SUBTRACTED = "zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x, 'c', p.c ^ q.c, 's', p.s, 'r', p.r))"
 
 PEELED = """aggregate(sequence(1, {rounds}),
   named_struct('cells', {cells}, 'found', CAST(array() AS array<struct<x: bigint, n: int>>)),
   (s, round) -> transform(
     array(array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.x)), c -> named_struct('x', c.x, 'n', c.n)))),
     pure -> IF(size(pure) = 0, s, named_struct(
-      'cells', transform(s.cells, (c, i) -> aggregate(
-        filter(pure, p -> (shiftrightunsigned(p.x, 8 * (i div 8)) & 7) = i % 8), c,
-        (c, p) -> named_struct('n', c.n - p.n, 'x', c.x ^ p.x, 'c', c.c ^ xxhash64(p.x)))),
+      'cells', transform(s.cells, c -> aggregate(
+        filter(pure, p -> (shiftrightunsigned(p.x, c.s) & 7) = c.r), c,
+        (c, p) -> named_struct('n', c.n - p.n, 'x', c.x ^ p.x, 'c', c.c ^ xxhash64(p.x), 's', c.s, 'r', c.r))),
       'found', concat(s.found, pure))))[0],
   s -> IF(forall(s.cells, c -> c.n = 0 AND c.x = 0L AND c.c = 0L), s.found, NULL))"""
 
@@ -62,7 +63,7 @@ def paragraph_digests(text: str) -> Column:
 
 
 def cells(digests: str) -> Column:
-    """The table of a column of digests: array of 24 struct<n, x, c>."""
+    """The table of a column of digests: array of 24 struct<n, x, c, s, r>."""
     return F.expr(CELLS.format(digests=f"`{digests}`"))
 
 
@@ -71,35 +72,52 @@ def serialized(table: str) -> Column:
     return F.expr(f"array_join(transform(`{table}`, c -> concat_ws('.', c.n, lower(hex(c.x)), lower(hex(c.c)))), ' ')")
 
 
-def differences(pairs: DataFrame) -> DataFrame:
+def recovered(a: str, b: str) -> Column:
+    """Digests that two columns of tables do not share: array of (x, n), n 1 where only a has x; null if too many."""
+    return F.expr(PEELED.format(rounds=ROUNDS, cells=SUBTRACTED.format(a=f"`{a}`", b=f"`{b}`")))
+
+
+def _dealt(failed: DataFrame, bit: int) -> DataFrame:
+    """Each failed pair as four, by two bits of the digests."""
+    if bit < LAST_BIT:
+        raise ValueError("two digests agree in all bits that deal them to tables, which cannot happen for distinct ones in practice")
+    part = f"filter({{}}, d -> (shiftrightunsigned(d, {bit}) & 3) = part)"
+    parts = failed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    return parts.select("uid", "kind", F.expr(part.format("a")).alias("a"), F.expr(part.format("b")).alias("b"))
+
+
+def differences(pairs: DataFrame, *, failed: bool = False) -> DataFrame:
     """(uid, kind, found): recovered digests by row of ``pairs`` (uid, kind, a, b), over several rows.
 
-    ``a`` and ``b`` are arrays of digests. found: array of (x, n), n 1 where only a has x, -1 where b.
+    ``a`` and ``b`` are arrays of digests, stored columns; found is as from ``recovered``. With
+    ``failed``, the pairs have failed in a table of the first size and start with the next.
     """
-    todo, done, bit = written(pairs, "pairs"), None, 62
+    todo, done, bit = pairs, None, 62
+    if failed:
+        todo, bit = written(_dealt(pairs, bit), "larger"), bit - 2
     while True:
-        subtracted = SUBTRACTED.format(a="in_a", b="in_b")
-        tables = todo.withColumns({"in_a": cells("a"), "in_b": cells("b")}).withColumn("both", F.expr(subtracted))
-        tried = written(tables.withColumn("found", F.expr(PEELED.format(rounds=ROUNDS, cells="both"))).drop("in_a", "in_b", "both"), "peeled")
+        tables = todo.withColumns({"in_a": cells("a"), "in_b": cells("b")}).withColumn("found", recovered("in_a", "in_b"))
+        rest = [F.when(F.col("found").isNull(), F.col(name)).alias(name) for name in ("a", "b")]
+        tried = written(tables.select("uid", "kind", "found", *rest), "peeled")
         solved = tried.where("found IS NOT NULL").select("uid", "kind", "found")
         done = solved if done is None else done.unionByName(solved)
-        failed = tried.where("found IS NULL").drop("found")
-        if failed.isEmpty():
+        left = tried.where("found IS NULL")
+        if left.isEmpty():
             return done
-        if bit < LAST_BIT:
-            raise ValueError("two digests agree in all bits that deal them to tables, which cannot happen for distinct ones in practice")
-        part = f"filter({{}}, d -> (shiftrightunsigned(d, {bit}) & 3) = part)"
-        dealt = failed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
-        todo = written(dealt.select("uid", "kind", F.expr(part.format("a")).alias("a"), F.expr(part.format("b")).alias("b")), "larger")
+        todo = written(_dealt(left, bit), "larger")
         bit -= 2
 
 
+def near(apart: Column, total: Column) -> Column:
+    """Shared digests over all digests of both; 1.0 for two empty texts."""
+    return F.when(total == 0, F.lit(1.0)).otherwise(1 - apart / F.greatest(total, F.lit(1)))
+
+
 def likeness(pairs: DataFrame) -> DataFrame:
-    """(uid, kind, near): shared digests over all digests of both, 1.0 for two empty texts."""
+    """(uid, kind, near) for ``pairs`` as ``differences`` takes them."""
     found = differences(pairs).groupBy("uid", "kind").agg(F.sum(F.size("found")).alias("apart"))
     sizes = pairs.select("uid", "kind", (F.size("a") + F.size("b")).alias("total"))
-    near = F.when(F.col("total") == 0, F.lit(1.0)).otherwise(1 - F.col("apart") / F.greatest("total", F.lit(1)))
-    return found.join(sizes, ["uid", "kind"]).select("uid", "kind", near.alias("near"))
+    return found.join(sizes, ["uid", "kind"]).select("uid", "kind", near(F.col("apart"), F.col("total")).alias("near"))
 
 
 def with_next(docs: DataFrame, slices: int = SLICES, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -131,11 +149,25 @@ def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         paragraph_digests("text").alias("own"), paragraph_digests("edited_text").alias("edited"), paragraph_digests("next_text").alias("next"),
     ), "digests")
-    compared = [read.select("uid", F.lit(kind).alias("kind"), F.col("own").alias("a"), F.col(kind).alias("b")) for kind in ("edited", "next")]
-    near = likeness(compared[0].unionByName(compared[1]))
-    by_row = near.groupBy("uid").agg(*(F.max(F.when(F.col("kind") == kind, F.col("near"))).alias(f"near_{kind}") for kind in ("edited", "next")))
-    marked = read.withColumns({"own_cells": cells("own"), "edited_cells": cells("edited")})
-    return marked.join(by_row, "uid").select(
-        "doc_id", "n_chars", "edited_sha256", serialized("own_cells").alias("fingerprint"),
-        serialized("edited_cells").alias("edited_fingerprint"), "near_edited", "near_next",
+    # Both comparisons of a row share its own table; the few that fail go on to larger ones.
+    kinds = ("edited", "next")
+    tables = read.withColumns({f"{name}_cells": cells(name) for name in ("own", *kinds)})
+    first = tables.withColumns({f"found_{kind}": recovered("own_cells", f"{kind}_cells") for kind in kinds})
+    compared = written(first.select(
+        "uid", "doc_id", "n_chars", "edited_sha256", serialized("own_cells").alias("fingerprint"),
+        serialized("edited_cells").alias("edited_fingerprint"),
+        *((F.size("own") + F.size(kind)).alias(f"total_{kind}") for kind in kinds),
+        *(F.when(F.col(f"found_{kind}").isNotNull(), F.size(f"found_{kind}")).cast("long").alias(f"apart_{kind}") for kind in kinds),
+    ), "compared")
+    failed = compared.select("uid", F.explode(F.array(*(
+        F.when(F.col(f"apart_{kind}").isNull(), F.lit(kind)) for kind in kinds
+    ))).alias("kind")).where("kind IS NOT NULL")
+    other = F.when(F.col("kind") == "edited", F.col("edited")).otherwise(F.col("next"))
+    pairs = read.join(failed, "uid").select("uid", "kind", F.col("own").alias("a"), other.alias("b"))
+    apart = differences(pairs, failed=True).groupBy("uid").agg(
+        *(F.sum(F.when(F.col("kind") == kind, F.size("found"))).alias(f"more_{kind}") for kind in kinds),
+    )
+    return compared.join(apart, "uid", "left").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        *(near(F.coalesce(f"apart_{kind}", f"more_{kind}"), F.col(f"total_{kind}")).alias(f"near_{kind}") for kind in kinds),
     )
