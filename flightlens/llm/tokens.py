@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -36,6 +36,11 @@ def encoder(path: str) -> "WordEncoder":
 class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # For lower-case Latin letters alone the normaliser does nothing and a word is one run of letters.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
         ends = [(i, piece.endswith("</w>")) for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         self.ends[[i for i, end in ends if end]] = True
@@ -49,31 +54,35 @@ class WordEncoder:
         """Ids of words of letters: each is one token run, so the run's ends show where words end."""
         found: list[bytes] = []
         runs = [words[at:at + 1000] for at in range(0, len(words), 1000)]
-        for some, raw in zip(runs, self._whole([" ".join(some) for some in runs])):
-            ids = np.frombuffer(raw, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some) and cuts[-1] == len(ids):
-                stops = (cuts * 4).tolist()
-                found += [raw[a:b] for a, b in zip([0, *stops], stops)]
-            else:  # a letter that normalises to something else
-                found += self._whole(some)
+        for some, e in zip(runs, self.plain.encode_batch_fast([" ".join(some) for some in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            raw, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) != len(some) or stops[-1] != len(raw):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            found += [raw[a:b] for a, b in zip([0, *stops], stops)]
         return found
 
     def _learn(self, new: set[bytes]) -> None:
-        plain: dict[str, list[tuple[bytes, bytes]]] = {}
+        known, marks = self.known, self.marks
+        plain: list[str] = []
+        tailed: list[tuple[bytes, bytes, bytes]] = []
         other: list[bytes] = []
         for word in new:
             text = word.decode()
-            if text.isalpha():
-                plain.setdefault(text, []).append((word, b""))
-            elif text[:-1].isalpha() and text[-1] in self.marks:
-                plain.setdefault(text[:-1], []).append((word, self.marks[text[-1]]))
+            if text.isalpha() and _is_plain(text):
+                plain.append(text)
+            elif text[-1] in marks and text[:-1].isalpha() and _is_plain(text[:-1]):
+                base = word[:-1]
+                tailed.append((word, base, marks[text[-1]]))
+                if base not in known and base not in new:
+                    plain.append(text[:-1])
             else:
                 other.append(word)
-        for spelled, ids in zip(plain.values(), self._plain(list(plain))):
-            for word, tail in spelled:
-                self.known[word] = ids + tail
-        self.known.update(zip(other, self._whole([word.decode() for word in other])))
+        plain = list(dict.fromkeys(plain))
+        known.update(zip([text.encode() for text in plain], self._plain(plain)))
+        for word, base, tail in tailed:
+            known[word] = known[base] + tail
+        known.update(zip(other, self._whole([word.decode() for word in other])))
 
     def encode(self, texts: Sequence[str | None], end_id: int | None = None) -> list[bytes]:
         """Little-endian 32-bit ids of each text (null: empty), ``end_id`` last."""
@@ -88,19 +97,28 @@ class WordEncoder:
         return out + self._join(some, end)
 
     def _join(self, split: list[list[bytes]], end: bytes) -> list[bytes]:
-        flat = [word for words in split for word in words]
-        ids = list(map(self.known.get, flat))
-        if None in ids:
-            new = {word for word, found in zip(flat, ids) if found is None}
+        get, new = self.known.get, set()
+        rows = [list(map(get, words)) for words in split]
+        for words, ids in zip(split, rows):
+            if None in ids:
+                new.update([word for word, found in zip(words, ids) if found is None])
+        if new:
             if len(self.known) + len(new) > KEPT_WORDS:  # common words are among those just seen
-                self.known = {word: found for word, found in zip(flat, ids) if found is not None}
+                self.known = {
+                    word: found for words, ids in zip(split, rows) for word, found in zip(words, ids) if found is not None
+                }
             self._learn(new)
-            ids = list(map(self.known.__getitem__, flat))
-        out, at = [], 0
-        for words in split:
-            out.append(b"".join(ids[at:at + len(words)]) + end)
-            at += len(words)
-        return out
+            known = self.known
+            rows = [
+                [known[word] if found is None else found for word, found in zip(words, ids)] if None in ids else ids
+                for words, ids in zip(split, rows)
+            ]
+        return [b"".join(ids) + end for ids in rows]
+
+
+def _is_plain(text: str) -> bool:
+    """Letters that neither normalising nor lowering changes: lower case, below U+0180."""
+    return text.islower() and (text.isascii() or max(text) < "\u0180")
 
 
 def _words(text: str) -> list[bytes]:
