@@ -181,6 +181,8 @@ def _whole_stretches(rows: pd.DataFrame) -> pd.DataFrame:
     doc, tie, slice_ = (np.concatenate([b[name][b["text"]] for b in blobs]) for name in ("doc", "tie", "slice"))
     at, lead, gram, equal, several = (np.concatenate([b[name] for b in blobs]) for name in ("at", "lead", "gram", "whole", "several"))
     order, run = multikey_order(lead, gram, equal, doc, tie, at)
+    once = np.flatnonzero(np.diff(_runs(run, doc[order], tie[order], at[order]), prepend=-1))  # rows repeated in other tasks or flushes
+    order = order[once]
     doc, tie, slice_, at, lead, gram, equal, several = (x[order] for x in (doc, tie, slice_, at, lead, gram, equal, several))
     same = _runs(lead, gram, equal)
     repeated = np.zeros(len(same), bool)

@@ -69,6 +69,18 @@ def test_odd_rows(make_docs, odd_rows):
     assert suffix.remove_repeats(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [{}, {"held": 600}, {"bucket_bytes": 200, "chunk": 500, "held": 1}])
+def test_repeated_rows_in_other_tasks_and_flushes(spark, sizes):
+    rng = random.Random(11)
+    text, other = ("".join(rng.choices("abcdefgh ", k=500)) for _ in range(2))
+    rows = [(5, text)] * 6 + [(7, "x" + text[100:400] + "y"), (9, other)] + [(9, other), (None, other[50:300])] * 3
+    wanted = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(7)
+    got = sorted(found(docs, **sizes), key=str)
+    assert got == sorted(((i, *wanted[i if i is not None else suffix.BEFORE_ALL, t]) for i, t in rows), key=str)
+    assert all(row[2] == 0 for row in got if row[0] == 5)
+
+
 def test_spread_leading_words(spark):
     """One passage in every document: its leading words own many buckets."""
     rng = random.Random(5)
