@@ -30,7 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flightlens.llm.common import documents, id_and_text, whole, written
+from flightlens.llm.common import documents, id_and_text, written
 
 WORDS = 3
 DISTANCE = 3
@@ -66,15 +66,14 @@ def simhash(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, tie: bool = False,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
 ) -> DataFrame:
-    """(doc_id, fp), written; with ``tie``, a hash that tells texts under one doc_id apart."""
+    """(doc_id, fp), written."""
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: simhash(text if isinstance(text, str) else None, words)).astype("int64")
 
-    more = [F.xxhash64(whole()).alias("tie")] * tie
-    return written(id_and_text(docs, id_col, text_col).select("doc_id", *more, fingerprint("text").alias("fp")), "fingerprints")
+    return written(id_and_text(docs, id_col, text_col).select("doc_id", fingerprint("text").alias("fp")), "fingerprints")
 
 
 def variants(fp: Column, distance: int = DISTANCE) -> Column:
@@ -215,42 +214,6 @@ def near_duplicates(hashed: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return hashed.join(known, "fp").select(*hashed.columns, "root", "component_id")
 
 
-def similarity(words: int):
-    """Jaccard similarity of the shingles of two columns of texts, repeats once."""
-    @F.pandas_udf("double")
-    def of(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x: str, y: str) -> float:
-            x, y = (np.unique(np.concatenate([*shingle_hashes(text, words), np.empty(0, np.uint64)])) for text in (x, y))
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            return shared / max(1, len(x) + len(y) - shared) if len(x) or len(y) else 1.0
-        return pd.Series([one(x, y) for x, y in zip(a, b)])
-
-    return of
-
-
-def similar_to_kept(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE, similar: float = 0.8,
-) -> DataFrame:
-    """(doc_id, tie) of rows to drop: in one component with a row that stays, and similar to it.
-
-    The row with the smallest doc_id of a component stays (null ids last; of rows under one id, the
-    smallest tie, XXH64 of the text). Rows of a component that are not similar enough to it stay too.
-    """
-    found = written(near_duplicates(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, tie=True), distance).distinct(), "grouped")
-    kept = found.groupBy("root").agg(
-        F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "tie")).alias("kept"), F.count("*").alias("rows"),
-    ).where("rows > 1").select("root", "kept")
-    grouped = found.join(kept, "root").select(
-        F.col("doc_id").alias("id"), F.col("tie").alias("of"), "root", (F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("tie") == F.col("kept.tie"))).alias("stays"),
-    )
-    texts = id_and_text(docs, id_col, text_col).select("doc_id", whole().alias("text"), F.xxhash64(whole()).alias("tie"))
-    rows = written(texts.join(grouped, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("of"))).select("doc_id", "tie", "root", "stays", "text"), "members")
-    # Written, so that the join's large groups are split: adaptive execution leaves a side it has aggregated alone.
-    first = written(rows.where("stays").select("root", F.col("text").alias("first")).dropDuplicates(["root"]), "first")
-    compared = rows.where("NOT stays").join(first, "root")
-    return compared.where(similarity(words)("text", "first") >= similar).select("doc_id", "tie").distinct()
-
-
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(fingerprints(documents(spark, sf_dir)))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
