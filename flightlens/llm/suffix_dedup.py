@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings with a suffix array over anchors, sorted in ranges.
+"""Removal of repeated byte strings by hashes of stretches at anchors, sorted in ranges.
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier: in a smaller doc_id, or
 further to the front of the same document. Not every suffix need be sorted for that: equal strings have
@@ -7,13 +7,13 @@ the same anchor (see ``windows``), so suffixes that start at anchors, about one
 1. Sampled suffixes give splitters that range-partition suffixes by their leading eight bytes, one bucket
    for ``BUCKET_BYTES`` of text. A leading word that fills several buckets by itself is spread over
    them by hash, so a passage in a third of all documents does not fill one task.
-2. A bucket is sorted by a multikey quicksort: by leading words, and only ties by the next key. Stretches
+2. A bucket is sorted by leading words, ties by hashes, so this is not full suffix order. Stretches
    of strings equal to an earlier one as a whole are repeated; of equal stretches only the first goes
    on. Each task has already done the same for its own stretches, so copies do not travel.
 3. What is left undecided are edges of repeats: different stretches around equal anchors. Their bytes
-   are cut from the texts, range-partitioned by the same splitters, sorted as suffixes, and their
+   are cut from the texts, range-partitioned by the same splitters, sorted by 32 bytes, and their
    strings compared one by one with all others around that anchor. Where a leading word was spread,
-   strings are compared on their own instead, dealt by their hashes: the comparison across boundaries.
+   strings are compared on their own instead, dealt by their hashes.
 4. Covered stretches of bytes are merged by document and cut out.
 
 Equality is that of 64-bit hashes together with the leading bytes and a hash of the anchor (over 128 bits
