@@ -150,7 +150,7 @@ def fit_cluster_counts(
     """A clustering for each number of clusters, all from one count of the points.
 
     A single start can end in a poorer local optimum that depends on the partitioning. Every fit
-    runs until no centre moves.
+    runs until no centre moves or for 100 iterations, whichever comes first.
     """
     columns = tuple(columns)
     counted = df.select(*columns).na.drop().groupBy(*columns).agg(F.count("*").alias("weight"))
