@@ -1,6 +1,7 @@
 """The registered queries of this package and the SQL for those that SQL can express."""
 
 import corpus_pipeline
+from flightlens.llm.collocations import OP11_SQL, op11_phrase_collocations
 from flightlens.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from flightlens.llm.fingerprints import op8_paragraph_fingerprints
 from flightlens.llm.language_id import op9_language_id
@@ -17,8 +18,8 @@ from flightlens.llm.toxicity import op4_toxicity
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_token_planes, op3_best_fit_packing, op4_toxicity, op5_simhash_near_dedup, op6_exact_dedup,
     op7_source_mixing, op8_paragraph_fingerprints, op9_language_id, op10_secret_scan,
-    op12_periodic_runs, op13_bpe_round_trip,
+    op11_phrase_collocations, op12_periodic_runs, op13_bpe_round_trip,
 )} | {"pipeline": corpus_pipeline.run}
-ORACLES = {"op6_exact_dedup": OP6_SQL, "op7_source_mixing": OP7_SQL, "op10_secret_scan": OP10_SQL}
+ORACLES = {"op6_exact_dedup": OP6_SQL, "op7_source_mixing": OP7_SQL, "op10_secret_scan": OP10_SQL, "op11_phrase_collocations": OP11_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
