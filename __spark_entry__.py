@@ -11,12 +11,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from flightlens import fixtures as fx, schemas  # noqa: E402
+from flightlens import fixtures as fx, schemas, sources  # noqa: E402
 from flightlens.operators import contains_join, total_by, union_by_position  # noqa: E402
 from flightlens.plans import delays, focus, models, seasons, traffic, trends, weather  # noqa: E402
 from flightlens.plans.constants import (  # noqa: E402
     CLUSTER_COLUMNS, DELAY_CAUSES, FIRST_MAP_BOX, LAST_MAP_BOX, REGRESSION_CANDIDATES, REGRESSION_LABEL,
 )
+from flightlens.session import scratch_path  # noqa: E402
 
 try:  # the training-data operators are an optional part
     from flightlens.llm.queries import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES  # noqa: E402
@@ -34,6 +35,7 @@ DAY = ("Year", "Month", "DayofMonth")
 AIRPORT_FLIGHTS = (*DAY, "DepDelay", "ArrDelay", "Cancelled", "CancellationCode", "Origin", "Dest")
 ROUTE = ("origin_city", "destination_city", "distance")
 CLUSTERED = ("Cancelled", "Month", "Origin")
+FACTS = (*DAY, "DepTime", "ArrDelay", "DepDelay", "Origin", "Dest", "Cancelled", "CancellationCode", "TailNum", *DELAY_CAUSES)
 EDGES = ("originCode", "destinationCode", "origin_city", "destination_city", "passengers", "seats", "flights",
          "distance", "fly_date", "origin_population", "destination_population")
 
@@ -74,10 +76,42 @@ def _wide(spark: SparkSession, sf_dir: str, slices=schemas.STATION_SLICES) -> Da
     return weather.temperature_and_rain(fx.weather_observations(spark, sf_dir), fx.stations(spark, sf_dir, slices))
 
 
+def _stored_by_year(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> DataFrame:
+    """The facts' copy by year: written once, so that no later scan opens a year it does not need."""
+    path = scratch_path(spark, "facts-by-year")
+    sources.write_by_year(fx.flight_facts(spark, sf_dir, columns), path)
+    return sources.read_by_year(spark, path)
+
+
 def _union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One frame per year, each with its own range of the scan, put together by position."""
+    """One frame per year, each the scan of its own folder, put together by position."""
     columns = (*DAY, "Origin", "Dest", "DepDelay", "ArrDelay", "Cancelled")
-    return union_by_position(fx.flight_facts(spark, sf_dir, columns, [year]) for year in range(FIRST, LAST + 1))
+    stored = _stored_by_year(spark, sf_dir, columns).select(*columns)
+    return union_by_position(stored.filter(F.col("Year") == year) for year in range(FIRST, LAST + 1))
+
+
+def _delays_in_busiest_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _stored_by_year(spark, sf_dir, ("Year", "Month", "ArrDelay", "Cancelled"))
+    return delays.delays_in_busiest_years(stored, fx.flight_edges(spark, sf_dir, ("passengers", "fly_date")))
+
+
+def _through_file(view: Callable[[SparkSession, str], DataFrame], write: Callable[[DataFrame, str], None],
+                  read: Callable[..., DataFrame], **options) -> Query:
+    """A view written in its file format and read back, what can't be read put aside."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made, path = view(spark, sf_dir), scratch_path(spark, "files")
+        write(made, path)
+        back = read(spark, path, keep_unreadable=True, **options)
+        return sources.quarantine(back, f"{path}-unreadable").select(*(made.columns if len(made.columns) > 1 else back.columns[:-1]))
+    return run
+
+
+def _departures_with_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = weather.airport_readings(
+        fx.weather_observations(spark, sf_dir), fx.airports(spark, sf_dir), fx.stations(spark, sf_dir)
+    )
+    facts = fx.flight_facts(spark, sf_dir, (*DAY, "DepTime", "Origin", "Dest", "DepDelay"))
+    return _rounded(delays.departures_with_readings(facts, readings, calendar_day=True), 6, "temperature")
 
 
 def _contains_join_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +157,18 @@ def queries() -> dict[str, Query]:
             lambda spark, sf_dir: fx.stations(spark, sf_dir, schemas.REFERENCE_STATION_SLICES),
         "edges_with_period": lambda spark, sf_dir: fx.flight_edges(spark, sf_dir, EDGES),
         "union_years": _union_years,
+        "facts_from_files": _through_file(
+            lambda spark, sf_dir: fx.flight_facts(spark, sf_dir, FACTS), sources.write_flight_facts, sources.read_flight_facts
+        ),
+        "edges_from_files": _through_file(
+            lambda spark, sf_dir: fx.flight_edges(spark, sf_dir, EDGES).drop("fly_year", "fly_month"),
+            sources.write_flight_edges, sources.read_flight_edges,
+        ),
+        "airports_from_files": _through_file(fx.airports, sources.write_airports, sources.read_airports),
+        "weather_from_files": _through_file(fx.weather_observations, sources.write_weather, sources.read_weather),
+        "stations_from_files": _through_file(
+            fx.station_lines, lambda lines, path: lines.write.text(path), sources.read_stations
+        ),
         # weather
         "weather_with_location": _located,
         "weather_daily_wide": _wide,
@@ -154,6 +200,10 @@ def queries() -> dict[str, Query]:
             _rounded(models.delay_temperature_model(_delays_with_temperatures(spark, sf_dir)), 9, "coefficient"),
             6, "mae",
         ),
+        "delays_in_busiest_years": lambda spark, sf_dir: _rounded(
+            _delays_in_busiest_years(spark, sf_dir), 6, "avg_arrival_delay"
+        ),
+        "departures_with_readings": _departures_with_readings,
         # one airport
         "focus_flights_by_year": _on_edges(focus.flights_by_year, CODES, FOCUS),
         "focus_flights_by_month": _on_edges(focus.flights_by_month, CODES, FOCUS, top=20),
@@ -174,6 +224,8 @@ def queries() -> dict[str, Query]:
         "traffic_by_same_city_month": _on_edges(by_city_month, CITIES, same_name=True),
         "busiest_city_months": _on_edges(by_city_month, CITIES, top=20),
         "least_travelled_city_months": _on_edges(by_city_month, CITIES, top=20, descending=False),
+        "ranked_city_months": _on_edges(by_city_month, CITIES, rank=True),
+        "ranked_routes": _on_edges(traffic.routes_by_distance, ROUTE, rank=True),
         "airport_traffic_first_year": _on_edges(traffic.airport_traffic, CODES, FIRST, years=[FIRST]),
         "airport_traffic_last_year": _on_edges(traffic.airport_traffic, CODES, LAST, years=[LAST]),
         "airport_bubbles_first_year": _bubbles(FIRST, FIRST_MAP_BOX),
@@ -205,6 +257,13 @@ def queries() -> dict[str, Query]:
         # trends
         "seasonal_spikes": _on_edges(trends.seasonal_spikes, CITIES, rounded=(6, "avg_change")),
         "trend_breaks": _on_edges(trends.trend_breaks, CITIES, rounded=(6, "usual_change", "z_score")),
+        "trend_spans": _on_edges(trends.trend_spans, CITIES, 1.0, rounded=(6, "departure", "largest_z")),
+        "travel_trend": _on_edges(trends.travel_trend, CITIES, rounded=(6, "yearly_change")),
+        "travel_stepwise": _on_edges(
+            trends.travel_stepwise,
+            ("origin_population", "destination_population", "distance", "seats", "flights", "passengers"),
+            "passengers", 3, rounded=(6, "r_squared"),
+        ),
         "travel_change": _on_edges(trends.travel_change, CITIES, FIRST, LAST, years=(FIRST, LAST)),
         "population_travel_correlation": _on_edges(
             trends.population_travel_correlation,

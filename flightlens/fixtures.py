@@ -124,6 +124,7 @@ def flight_facts(
         "Year": F.year("l_shipdate"),
         "Month": F.month("l_shipdate"),
         "DayofMonth": F.dayofmonth("l_shipdate"),
+        "DepTime": (F.floor((order * 37 + line * 101) % 1440 / 60) * 100 + (order * 37 + line * 101) % 60).cast("int"),
         "DepDelay": delay((order * 7 + line * 13) % 200 - 20),
         "ArrDelay": delay((order * 11 + line * 17) % 240 - 30),
         "Cancelled": cancelled.cast("int"),

@@ -9,11 +9,11 @@ from flightlens.operators.aggregates import (
     total_by,
     union_by_position,
 )
-from flightlens.operators.joins import band_join, contains_join, nearest
-from flightlens.operators.series import change_from_previous, numbered, with_ticks
+from flightlens.operators.joins import as_of, band_join, contains_join, many_to_many, nearest
+from flightlens.operators.series import change_from_previous, numbered, row_numbers, runs_of_months, with_ticks
 
 __all__ = [
-    "average_by", "band_join", "change_from_previous", "contains_join", "distinct_ranked",
-    "nearest", "numbered", "place_traffic", "ranked", "ratio_by", "total_by",
+    "as_of", "average_by", "band_join", "change_from_previous", "contains_join", "distinct_ranked",
+    "many_to_many", "nearest", "numbered", "place_traffic", "ranked", "ratio_by", "row_numbers", "runs_of_months", "total_by",
     "union_by_position", "with_ticks",
 ]

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flightlens.functions import as_number, ratio_of_sums
+from flightlens.operators.series import row_numbers
 
 
 def total_by(df: DataFrame, *keys: str, measure: str = "flights", name: str = "number_of_flights") -> DataFrame:
@@ -24,20 +25,26 @@ def ratio_by(df: DataFrame, key: str, **ratios: tuple[str, str]) -> DataFrame:
 
 
 def ranked(
-    df: DataFrame, measure: str, *ties: str, descending: bool = True, top: int | None = None
+    df: DataFrame, measure: str, *ties: str, descending: bool = True, top: int | None = None, rank: bool = False
 ) -> DataFrame:
-    """Order by a measure with named tie-breaks; ``top`` keeps the first rows only."""
+    """Order by a measure with named tie-breaks; ``top`` keeps the first rows only.
+
+    ``rank`` adds each row's place as a column, for a result of any length and without a single partition.
+    """
     first: Column = F.desc(measure) if descending else F.asc(measure)
+    if rank:
+        numbered = row_numbers(df, first, *ties)
+        return numbered if top is None else numbered.filter(F.col("rank") <= top)
     out = df.orderBy(first, *ties)
     return out if top is None else out.limit(top)
 
 
 def distinct_ranked(df: DataFrame, columns: Iterable[str], measure: str, *, descending: bool = True,
-                    top: int | None = None) -> DataFrame:
+                    top: int | None = None, rank: bool = False) -> DataFrame:
     """Distinct rows of some columns, then ordered (the other way round loses the order)."""
     columns = list(columns)
     ties = [name for name in columns if name != measure]
-    return ranked(df.select(*columns).distinct(), measure, *ties, descending=descending, top=top)
+    return ranked(df.select(*columns).distinct(), measure, *ties, descending=descending, top=top, rank=rank)
 
 
 def union_by_position(frames: Iterable[DataFrame]) -> DataFrame:

@@ -148,6 +148,41 @@ def feature_search(df: DataFrame, candidates: Sequence[str], label: str, size: i
     return errors.select(F.inline(F.array(*rows)))
 
 
+def _swept(a: np.ndarray, k: int) -> np.ndarray:
+    """The sweep operator on column k: what is swept in is regressed on, and sweeping again takes it out."""
+    out = a - np.outer(a[:, k], a[k, :]) / a[k, k]
+    out[k, :], out[:, k] = a[k, :] / a[k, k], -a[:, k] / a[k, k]
+    out[k, k] = 1 / a[k, k]
+    return out
+
+
+def stepwise(df: DataFrame, candidates: Sequence[str], label: str, steps: int | None = None, tolerance: float = 1e-9) -> DataFrame:
+    """Candidates in the order in which each explains most of what is left of the label: (step, feature, r_squared).
+
+    The moments of one pass hold all that a regression on any of the candidates needs; each step is a sweep of their
+    correlation matrix on the driver, so the data are read once whatever the number of steps. Only rows
+    where the label and every candidate are known count, so that steps can be compared. A candidate that
+    others already determine, by ``tolerance``, or that does not vary, is never chosen; ties go to the
+    candidate named first.
+    """
+    moments = _moments(df, candidates, label)
+    n, mean, spread = _merged([m for m in moments if not m.missing], range(len(candidates) + 1))
+    deviation = np.sqrt(np.maximum(np.diag(spread), 0.0) / max(n, 1))
+    varies = deviation > CONSTANT * np.abs(mean)
+    scale = np.where(varies, deviation, 1.0)
+    swept = np.where(np.outer(varies, varies), spread / max(n, 1) / np.outer(scale, scale), 0.0)
+    left, chosen = [i for i in range(len(candidates)) if varies[i]] if varies[-1] else [], []
+    while left and (steps is None or len(chosen) < steps):
+        gains = {i: swept[i, -1] ** 2 / swept[i, i] for i in left if swept[i, i] > tolerance}
+        if not gains:
+            break
+        best = max(gains, key=gains.get)
+        swept = _swept(swept, best)
+        left.remove(best)
+        chosen.append((len(chosen) + 1, candidates[best], float(1 - swept[-1, -1])))
+    return df.sparkSession.createDataFrame(chosen, "step INT, feature STRING, r_squared DOUBLE")
+
+
 def best_features(searched: DataFrame) -> DataFrame:
     """The feature set with the smallest error."""
     return searched.orderBy("mae", "features").limit(1)

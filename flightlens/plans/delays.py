@@ -2,10 +2,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flightlens.functions import as_number, in_box
-from flightlens.operators import average_by, contains_join, total_by
+from flightlens.operators import as_of, average_by, contains_join, row_numbers, total_by
 from flightlens.plans.constants import AIRPORT_BOX, DELAY_CAUSES
 
 AIRPORT_FLIGHT_COLUMNS = (
@@ -88,6 +88,53 @@ def flights_by_period(facts: DataFrame, period: str) -> DataFrame:
     ).orderBy("period_start")
 
 
+def minute_of_day(name: str) -> Column:
+    """Minutes since midnight of a time written hhmm; null outside the day."""
+    time = F.col(name).try_cast("int")
+    minute = F.floor(time / 100) * 60 + time % 100
+    return F.when(time.between(0, 2359) & (time % 100 < 60), minute)
+
+
+def delays_in_busiest_years(stored: DataFrame, edges: DataFrame, years: int = 3) -> DataFrame:
+    """Delays per month in the years with most passengers, from facts stored by year.
+
+    Which years these are comes out of the edges while the query runs; the scan of the facts then opens the folders of
+    those years only.
+    """
+    totals = total_by(edges, "fly_year", measure="passengers", name="passengers").filter(F.col("fly_year").isNotNull())
+    busiest = row_numbers(totals, F.desc("passengers"), "fly_year").filter(F.col("rank") <= years)
+    chosen = stored.join(busiest.select(F.col("fly_year").alias("Year"), "rank"), "Year")
+    return chosen.groupBy("Year", "rank", "Month").agg(
+        F.count("*").alias("flights"), F.avg(as_number("ArrDelay")).alias("avg_arrival_delay"),
+        F.sum("Cancelled").alias("cancelled"),
+    ).orderBy("rank", "Month")
+
+
+def departures_with_readings(
+    facts: DataFrame, readings: DataFrame, *, delay: str = "DepDelay", calendar_day: bool = False, how: str = "inner"
+) -> DataFrame:
+    """Flights with a known delay and the last temperature read that day before or at departure.
+
+    ``readings`` are (IATA, doy, observationTime, temperature), see ``weather.airport_readings``. ``calendar_day`` matches
+    month and day only; readings of several years at one time are then averaged. how="left" keeps flights
+    without an earlier reading on their day.
+    """
+    day = F.col("Month") * 100 + F.col("DayofMonth")
+    when = F.col("doy")
+    if calendar_day:
+        when = when % 10000
+    else:
+        day = F.col("Year") * 10000 + day
+    read = readings.select(
+        F.col("IATA").alias("Origin"), when.alias("day"), minute_of_day("observationTime").alias("reading_minute"), "temperature",
+    ).groupBy("Origin", "day", "reading_minute").agg(F.avg("temperature").alias("temperature"))
+    left = facts.select(
+        "Origin", "Dest", day.alias("day"), "DepTime", as_number(delay).alias("delay"), minute_of_day("DepTime").alias("minute"),
+    ).na.drop(subset=["delay", "minute"])
+    found = as_of(left, read, ["Origin", "day"], "minute", "reading_minute", until=1440, bucket=60, how=how)
+    return found.drop("minute")
+
+
 def passengers_by_year(edges: DataFrame) -> DataFrame:
     return total_by(edges, "fly_year", measure="passengers", name="passengers").orderBy("fly_year")
 

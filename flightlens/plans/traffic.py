@@ -34,7 +34,7 @@ def _both_ends(traffic: DataFrame, place: str, *shared: str, same_name: bool = F
 
 
 def traffic_by_city_month(
-    edges: DataFrame, *, top: int | None = None, descending: bool = True, same_name: bool = False
+    edges: DataFrame, *, top: int | None = None, descending: bool = True, same_name: bool = False, rank: bool = False
 ) -> DataFrame:
     """Departures plus arrivals per city and month, busiest first.
 
@@ -44,7 +44,8 @@ def traffic_by_city_month(
     """
     months = place_traffic(edges, "origin_city", "destination_city", "fly_date")
     joined = _both_ends(months, "origin_city", "fly_date", same_name=same_name)
-    return ranked(joined.select("origin_city", "fly_date", "flights"), "flights", "origin_city", "fly_date", descending=descending, top=top)
+    rows = joined.select("origin_city", "fly_date", "flights")
+    return ranked(rows, "flights", "origin_city", "fly_date", descending=descending, top=top, rank=rank)
 
 
 def airport_traffic(edges: DataFrame, year: int) -> DataFrame:
@@ -65,10 +66,10 @@ def airport_bubbles(edges: DataFrame, airports: DataFrame, year: int, box: dict[
     return kept.select("Longitude", "Latitude", F.col("flights").cast("double"), size.alias("bubble_size"))
 
 
-def routes_by_distance(edges: DataFrame, *, descending: bool = True, top: int | None = None) -> DataFrame:
+def routes_by_distance(edges: DataFrame, *, descending: bool = True, top: int | None = None, rank: bool = False) -> DataFrame:
     """Distinct routes, longest or shortest first."""
     return distinct_ranked(
-        edges, ("origin_city", "destination_city", "distance"), "distance", descending=descending, top=top
+        edges, ("origin_city", "destination_city", "distance"), "distance", descending=descending, top=top, rank=rank
     )
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flightlens.functions import in_years
-from flightlens.operators import change_from_previous, place_traffic
+from flightlens.operators import change_from_previous, place_traffic, runs_of_months
+from flightlens.operators.regression import stepwise
 from flightlens.plans.constants import FIRST_YEAR, LAST_YEAR
 
 POPULATIONS = ("origin_population", "destination_population")
 TRAVEL = ("passengers", "flights")
+TRAVEL_CANDIDATES = (*POPULATIONS, "distance", "seats", "flights")
 
 
 def _monthly_change(edges: DataFrame) -> DataFrame:
@@ -44,6 +46,44 @@ def trend_breaks(edges: DataFrame, threshold: float = 2.0) -> DataFrame:
     return scored.filter(F.abs("z_score") >= threshold)
 
 
+def trend_spans(edges: DataFrame, threshold: float = 2.0) -> DataFrame:
+    """Spans of neighbouring months that all leave the usual trend, one row each, the largest departure first.
+
+    ``departure`` is the sum of what the changes of the span's months lie above or below the usual ones.
+    """
+    spans = runs_of_months(
+        trend_breaks(edges, threshold), "city", "fly_date",
+        departure=F.sum(F.col("change") - F.col("usual_change")), largest_z=F.max(F.abs("z_score")),
+    )
+    return spans.orderBy(F.desc(F.abs("departure")), "city", "from")
+
+
+def travel_trend(edges: DataFrame) -> DataFrame:
+    """Per city the gradual gain or loss, as flights a year, and the biggest jump from one year to the next.
+
+    The gain is the slope of a line through the yearly totals. A jump is a change between two years that follow one another, the
+    biggest is that of the largest amount (the earlier of equals); null where no two such years have traffic.
+    """
+    ends = place_traffic(edges, "origin_city", "destination_city", "fly_year").filter(F.col("fly_year").isNotNull())
+    flights = F.coalesce("flightsFrom", F.lit(0)) + F.coalesce("flightsTo", F.lit(0))
+    years = ends.select(F.col("place").alias("city"), "fly_year", flights.alias("flights"))
+    in_time = Window.partitionBy("city").orderBy("fly_year")  # as many rows as there are years
+    follows = F.col("fly_year") - F.lag("fly_year").over(in_time) == 1
+    jumped = years.withColumn("jump", F.when(follows, F.col("flights") - F.lag("flights").over(in_time)))
+    biggest = F.when(F.col("jump").isNotNull(), F.struct(F.abs("jump"), -F.col("fly_year")))
+    trends = jumped.groupBy("city").agg(
+        F.count("*").alias("years"), F.sum("flights").alias("flights"),
+        F.regr_slope(F.col("flights").cast("double"), F.col("fly_year").cast("double")).alias("yearly_change"),
+        F.max_by("fly_year", biggest).alias("jump_year"), F.max_by("jump", biggest).alias("jump"),
+    )
+    return trends.orderBy(F.desc("yearly_change"), "city")
+
+
+def travel_stepwise(edges: DataFrame, label: str = "passengers", steps: int | None = None) -> DataFrame:
+    """Which fields, populations among them, explain travel, in the order in which each adds most."""
+    return stepwise(edges, [name for name in TRAVEL_CANDIDATES if name != label], label, steps)
+
+
 def travel_change(edges: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     """Traffic per city in two years and the difference, biggest gain first."""
     years = place_traffic(

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from flightlens.functions import in_box
-from flightlens.operators import band_join, nearest
+from flightlens.operators import band_join, many_to_many, nearest
 from flightlens.plans.constants import BAND_DEGREES, RAIN, TEMPERATURE, WEATHER_BOX
 from flightlens.session import materialize
 
@@ -25,7 +25,8 @@ def temperature_and_rain(
 ) -> DataFrame:
     """Temperature and rain of the same station and day side by side, inside a box.
 
-    Several readings of a kind on one day all pair up, so this is a join and not a pivot. Both
+    Several readings of a kind on one day all pair up, so this is a join and not a pivot; a station's day with
+    very many readings is split over tasks. Both
     inputs are read once: the stations with a place in the box, a small table, and the complete
     readings of the two kinds at those stations are summaries that the two sides share.
     """
@@ -41,7 +42,7 @@ def temperature_and_rain(
         return kept.select("stationCode", "doy", F.col("observationVal").alias(name), *more)
 
     rain = readings(RAIN, "precip", "lat", "long").filter(inside)
-    wide = readings(TEMPERATURE, "temperature").join(rain, ["stationCode", "doy"])
+    wide = many_to_many(readings(TEMPERATURE, "temperature"), rain, ["stationCode", "doy"])
     return wide.select("stationCode", "doy", "precip", "temperature", "lat", "long")
 
 
@@ -59,6 +60,16 @@ def nearest_station(airports: DataFrame, stations: DataFrame, width: float = BAN
     return nearest(ports, places, BAND, width, key="IATA", candidate="stationCode")
 
 
+def airport_readings(
+    observations: DataFrame, airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES
+) -> DataFrame:
+    """Temperatures read at each airport's nearest station, with their day and time; several at one time are averaged."""
+    readings = observations.na.drop().distinct().filter(F.col("observationType") == TEMPERATURE)
+    timed = readings.groupBy("stationCode", "doy", "observationTime").agg(F.avg("observationVal").alias("temperature"))
+    placed = nearest_station(airports.na.drop(), stations.na.drop(), width)
+    return placed.join(timed, "stationCode").select("IATA", "doy", "observationTime", "temperature")
+
+
 def airport_temperatures(
     observations: DataFrame, airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES
 ) -> DataFrame:

@@ -29,6 +29,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path that the driver and all executors reach: in the shared folder, or where that is unset in the warehouse."""
+    folder = shared_folder(spark) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a summary once and read it back, for summaries used by several branches of a plan.
 
@@ -38,9 +44,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     branch that needs it, and what a lost executor held is worked out again.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
+    if shared_folder(spark) is None:
         return df.persist()
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,8 @@
 """Readers for the five kinds of input file, and the columnar copy of the flight facts."""
 
 from flightlens.sources.files import (
+    UNREADABLE,
+    quarantine,
     read_airports,
     read_flight_edges,
     read_flight_facts,
@@ -8,9 +10,18 @@ from flightlens.sources.files import (
     read_weather,
     station_locations,
 )
-from flightlens.sources.sinks import write_by_year, write_report
+from flightlens.sources.sinks import (
+    read_by_year,
+    write_airports,
+    write_by_year,
+    write_flight_edges,
+    write_flight_facts,
+    write_report,
+    write_weather,
+)
 
 __all__ = [
-    "read_airports", "read_flight_edges", "read_flight_facts", "read_stations", "read_weather",
-    "station_locations", "write_by_year", "write_report",
+    "UNREADABLE", "quarantine", "read_airports", "read_by_year", "read_flight_edges", "read_flight_facts", "read_stations",
+    "read_weather", "station_locations", "write_airports", "write_by_year", "write_flight_edges", "write_flight_facts",
+    "write_report", "write_weather",
 ]

@@ -43,9 +43,10 @@ EDGES = f"""{BASE}, edges AS (
   FROM base
 )"""
 
-FACTS = f"""{BASE}, facts AS (
+ONLY_FACTS = f"""facts AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS "Year", CAST(month(l_shipdate) AS INTEGER) AS "Month",
          CAST(day(l_shipdate) AS INTEGER) AS "DayofMonth",
+         CAST((l_orderkey * 37 + l_linenumber * 101) % 1440 // 60 * 100 + (l_orderkey * 37 + l_linenumber * 101) % 1440 % 60 AS INTEGER) AS "DepTime",
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'NA'
               ELSE CAST((l_orderkey * 7 + l_linenumber * 13) % 200 - 20 AS VARCHAR) END AS "DepDelay",
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'NA'
@@ -63,6 +64,8 @@ FACTS = f"""{BASE}, facts AS (
   FROM base
 )"""
 
+FACTS = f"{BASE}, {ONLY_FACTS}"
+
 AIRPORTS = f"""airports AS (
   SELECT {_code('n_nationkey')} AS "IATA", concat(n_name, ' Airport') AS "AirportName", n_name AS "City",
          r_name AS "Country",
@@ -255,6 +258,20 @@ PAIRS = f"""{FACTS}, {TEMPERATURES}, pairs AS (
   WHERE TRY_CAST(f."ArrDelay" AS DOUBLE) IS NOT NULL
 )"""
 
+# The last reading at or before departure, by DuckDB's own as-of join.
+DEPARTURES = f"""{FACTS}, {AIRPORTS}, {OBSERVATIONS}, {_stations()}, {NEAR}, timed AS (
+  SELECT stationCode, doy, observationTime, avg(observationVal) AS temperature FROM (SELECT DISTINCT * FROM observations)
+  WHERE observationType = 'TOBS' AND observationTime IS NOT NULL AND observationVal IS NOT NULL GROUP BY ALL
+), readings AS (
+  SELECT c."IATA", t.doy % 10000 AS md, CAST(observationTime // 100 * 60 + observationTime % 100 AS BIGINT) AS reading_minute,
+         avg(t.temperature) AS temperature
+  FROM closest c JOIN timed t ON c.stationCode = t.stationCode GROUP BY ALL
+), departures AS (
+  SELECT "Origin", "Dest", "Month" * 100 + "DayofMonth" AS "day", "DepTime", TRY_CAST("DepDelay" AS DOUBLE) AS delay,
+         "DepTime" // 100 * 60 + "DepTime" % 100 AS minute
+  FROM facts WHERE TRY_CAST("DepDelay" AS DOUBLE) IS NOT NULL
+)"""
+
 AIRPORT_FLIGHTS = f"""{FACTS}, {AIRPORTS}, airport_flights AS (
   SELECT a."AirportName", a."City", a."Country", a."Latitude", a."Longitude", f."Year", f."Month", f."DayofMonth",
          f."DepDelay", f."ArrDelay", f."Cancelled", f."CancellationCode", f."Dest"
@@ -344,6 +361,27 @@ def _correlations() -> str:
     return f"WITH {EDGES}\n" + "\nUNION ALL ".join(rows)
 
 
+def _stepwise(candidates: tuple[str, ...], label: str) -> str:
+    """Three steps of forward selection by partial correlations, from the plain ones."""
+    names = (*candidates, label)
+    where = " AND ".join(f"{name} IS NOT NULL" for name in names)
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM known" for a in names for b in names if a != b)
+    return f"""WITH {EDGES}, known AS (SELECT * FROM edges WHERE {where}), r AS MATERIALIZED ({pairs}),
+first AS (SELECT a, r, r * r AS explained FROM r WHERE b = '{label}' ORDER BY explained DESC LIMIT 1),
+given1 AS MATERIALIZED (  -- correlations of all pairs, the first feature given
+  SELECT x.a, x.b, (x.r - p.r * q.r) / sqrt((1 - p.r * p.r) * (1 - q.r * q.r)) AS r
+  FROM r x, first f, r p, r q WHERE p.a = x.a AND p.b = f.a AND q.a = x.b AND q.b = f.a AND x.a <> f.a AND x.b <> f.a),
+second AS (SELECT g.a, 1 - (1 - f.explained) * (1 - g.r * g.r) AS explained FROM given1 g, first f WHERE g.b = '{label}'
+  ORDER BY g.r * g.r DESC LIMIT 1),
+given2 AS (
+  SELECT x.a, x.b, (x.r - p.r * q.r) / sqrt((1 - p.r * p.r) * (1 - q.r * q.r)) AS r
+  FROM given1 x, second s, given1 p, given1 q WHERE p.a = x.a AND p.b = s.a AND q.a = x.b AND q.b = s.a AND x.a <> s.a AND x.b <> s.a),
+third AS (SELECT g.a, 1 - (1 - s.explained) * (1 - g.r * g.r) AS explained FROM given2 g, second s WHERE g.b = '{label}'
+  ORDER BY g.r * g.r DESC LIMIT 1)
+SELECT CAST(1 AS INTEGER) AS step, a AS feature, round(explained, 6) AS r_squared FROM first
+UNION ALL SELECT CAST(2 AS INTEGER), a, round(explained, 6) FROM second UNION ALL SELECT CAST(3 AS INTEGER), a, round(explained, 6) FROM third"""
+
+
 def _routes() -> str:
     return f"WITH {EDGES}\nSELECT DISTINCT origin_city, destination_city, distance FROM edges"
 
@@ -357,6 +395,14 @@ def oracle_sql() -> dict[str, str]:
         "station_locations_reference_slices": f"WITH {_stations(23, 8)} SELECT * FROM stations",
         "edges_with_period": f"WITH {EDGES} SELECT * FROM edges",
         "union_years": _union_years(),
+        "facts_from_files": f"""WITH {FACTS} SELECT * REPLACE (TRY_CAST("ArrDelay" AS INTEGER) AS "ArrDelay",
+TRY_CAST("DepDelay" AS INTEGER) AS "DepDelay", CAST("CarrierDelay" AS INTEGER) AS "CarrierDelay", CAST("WeatherDelay" AS INTEGER) AS "WeatherDelay",
+CAST("NASDelay" AS INTEGER) AS "NASDelay", CAST("SecurityDelay" AS INTEGER) AS "SecurityDelay",
+CAST("LateAircraftDelay" AS INTEGER) AS "LateAircraftDelay") FROM facts""",
+        "edges_from_files": f"WITH {EDGES} SELECT * EXCLUDE (fly_year, fly_month) FROM edges",
+        "airports_from_files": f"WITH {AIRPORTS} SELECT * FROM airports",
+        "weather_from_files": f"WITH {OBSERVATIONS} SELECT * FROM observations",
+        "stations_from_files": f"WITH {_stations()} SELECT * FROM stations",
         # weather
         "weather_with_location": f"WITH {OBSERVATIONS}, {_stations()}, {LOCATED} SELECT * FROM located",
         "weather_daily_wide": _wide(22, 9),
@@ -381,6 +427,14 @@ FROM facts WHERE "TailNum" IS NOT NULL GROUP BY 1, 2""",
 round(origin_temperature, 6) AS origin_temperature, round(destination_temperature, 6) AS destination_temperature
 FROM pairs""",
         "delay_temperature_model": _model(PAIRS, "pairs", ("origin_temperature", "destination_temperature"), "delay"),
+        "delays_in_busiest_years": f"""WITH {EDGES}, {ONLY_FACTS}, busiest AS (
+  SELECT fly_year, row_number() OVER (ORDER BY sum(passengers) DESC, fly_year) AS rank FROM edges GROUP BY fly_year)
+SELECT "Year", rank, "Month", count(*) AS flights, round(avg(TRY_CAST("ArrDelay" AS DOUBLE)), 6) AS avg_arrival_delay,
+       CAST(sum("Cancelled") AS BIGINT) AS cancelled
+FROM facts JOIN busiest ON "Year" = fly_year WHERE rank <= 3 GROUP BY ALL""",
+        "departures_with_readings": f"""WITH {DEPARTURES}
+SELECT d."Origin", d."Dest", d."day", d."DepTime", d.delay, r.reading_minute, round(r.temperature, 6) AS temperature
+FROM departures d ASOF JOIN readings r ON d."Origin" = r."IATA" AND d."day" = r.md AND d.minute >= r.reading_minute""",
         # one airport
         "focus_flights_by_year": _focus(both, "fly_year"),
         "focus_flights_by_month": _focus(both, "fly_date") + " ORDER BY number_of_flights DESC, fly_date LIMIT 20",
@@ -407,6 +461,9 @@ FROM departures d JOIN arrivals a ON d.fly_date = a.fly_date AND d.origin_city =
 ORDER BY flights DESC, origin_city, fly_date LIMIT 20""",
         "least_travelled_city_months": f"""WITH {TRAFFIC} SELECT * FROM traffic
 ORDER BY flights, origin_city, fly_date LIMIT 20""",
+        "ranked_city_months": f"""WITH {TRAFFIC}
+SELECT *, row_number() OVER (ORDER BY flights DESC, origin_city, fly_date) AS rank FROM traffic""",
+        "ranked_routes": f"""SELECT *, row_number() OVER (ORDER BY distance DESC, origin_city, destination_city) AS rank FROM ({_routes()})""",
         "airport_traffic_first_year": _airport_traffic_rows(FIRST),
         "airport_traffic_last_year": _airport_traffic_rows(LAST),
         "airport_bubbles_first_year": _bubbles(FIRST, 'p."Longitude" > -130'),
@@ -449,6 +506,28 @@ FROM changes WHERE change IS NOT NULL GROUP BY 1, 2""",
   FROM changes WINDOW w AS (PARTITION BY city, fly_month))
 SELECT city, fly_date, change, round(usual, 6) AS usual_change, round((change - usual) / deviation, 6) AS z_score
 FROM scored WHERE deviation > 0 AND abs((change - usual) / deviation) >= 2""",
+        "trend_spans": f"""WITH {CHANGES}, scored AS (
+  SELECT city, fly_date, CAST(left(fly_date, 4) AS INTEGER) * 12 + fly_month AS m, change, avg(change) OVER w AS usual,
+         stddev_samp(change) OVER w AS deviation FROM changes WINDOW w AS (PARTITION BY city, fly_month)
+), breaks AS (
+  SELECT city, fly_date, m, change - usual AS off, (change - usual) / deviation AS z FROM scored
+  WHERE deviation > 0 AND abs((change - usual) / deviation) >= 1
+), begun AS (
+  SELECT *, CASE WHEN m - 1 = lag(m) OVER (PARTITION BY city ORDER BY m) THEN 0 ELSE 1 END AS begins FROM breaks
+), spans AS (
+  SELECT *, sum(begins) OVER (PARTITION BY city ORDER BY m) AS span FROM begun)
+SELECT city, min(fly_date) AS "from", max(fly_date) AS "to", count(*) AS months, round(sum(off), 6) AS departure,
+       round(max(abs(z)), 6) AS largest_z FROM spans GROUP BY city, span""",
+        "travel_trend": f"""WITH {CHANGES}, yearly AS (
+  SELECT city, CAST(left(fly_date, 4) AS INTEGER) AS y, CAST(sum(flights) AS BIGINT) AS n FROM monthly GROUP BY ALL
+), jumps AS (
+  SELECT b.city, b.y, b.n - a.n AS jump, row_number() OVER (PARTITION BY b.city ORDER BY abs(b.n - a.n) DESC, b.y) AS o
+  FROM yearly a JOIN yearly b ON a.city = b.city AND a.y + 1 = b.y
+)
+SELECT y.city, count(*) AS years, CAST(sum(y.n) AS BIGINT) AS flights, round(regr_slope(y.n, y.y), 6) AS yearly_change,
+       any_value(j.y) AS jump_year, any_value(j.jump) AS jump
+FROM yearly y LEFT JOIN jumps j ON y.city = j.city AND j.o = 1 GROUP BY y.city""",
+        "travel_stepwise": _stepwise(("origin_population", "destination_population", "distance", "seats", "flights"), "passengers"),
         "travel_change": f"""WITH {CHANGES}, totals AS (
   SELECT city, CAST(coalesce(sum(flights) FILTER (WHERE fly_date LIKE '{FIRST}%'), 0) AS BIGINT) AS first_year_flights,
          CAST(coalesce(sum(flights) FILTER (WHERE fly_date LIKE '{LAST}%'), 0) AS BIGINT) AS last_year_flights
