@@ -24,7 +24,7 @@ def _csv(spark: SparkSession, paths: Paths, schema: str | StructType, keep_unrea
     """Lines by a declared schema. A line that does not fit, in a value or in the number of values, gives nulls for what
     does not fit; with ``keep_unreadable`` a last column has the line itself, null for the others.
 
-    Spark finds such lines only while it parses all values, so that column switches off the pruning of columns.
+    Spark looks for such values only in the columns that a query asks for; ``quarantine`` asks for all.
     """
     reader = spark.read.options(**options)
     if keep_unreadable:
@@ -93,11 +93,14 @@ def read_stations(
 
 
 def quarantine(rows: DataFrame, path: str) -> DataFrame:
-    """The rows that could be read; lines that could not go to ``path``, as (file, line), to be looked at.
+    """The rows that could be read; lines that could not go to ``path``, as (file, line, parsed), to be looked at.
 
-    ``rows`` comes from a reader with ``keep_unreadable``. The files are read once for the quarantine, which
+    ``parsed`` is JSON of what could be made out.    ``rows`` comes from a reader with ``keep_unreadable``. The files are read once for the quarantine, which
     is written now, and again whenever the result is asked for.
     """
-    lines = rows.withColumn("_file", F.input_file_name()).filter(F.col(UNREADABLE).isNotNull())
-    lines.select(F.col("_file").alias("file"), F.col(UNREADABLE).alias("line")).write.parquet(path)
-    return rows.filter(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
+    parsed = F.to_json(F.struct(*(name for name in rows.columns if name != UNREADABLE)))
+    lines = rows.select(F.input_file_name().alias("file"), F.col(UNREADABLE).alias("line"), parsed.alias("parsed"))
+    lines.filter(F.col("line").isNotNull()).write.parquet(path)
+    # Always true, but it names all columns: Spark looks for what does not fit only in columns that are asked for.
+    all_read = F.coalesce(*(F.col(name).cast("string") for name in rows.columns if name != UNREADABLE), F.lit("")) >= ""
+    return rows.filter(F.col(UNREADABLE).isNull() & all_read).drop(UNREADABLE)

@@ -1,3 +1,4 @@
+import math
 import random
 from itertools import combinations
 
@@ -20,6 +21,7 @@ from flightlens.operators.regression import (
     least_squares,
     mean_absolute_error,
     predicted,
+    stepwise,
 )
 from flightlens.plans.constants import REGRESSION_CANDIDATES
 
@@ -159,3 +161,27 @@ def test_several_counts_of_clusters_from_one_count_of_points(spark, monkeypatch)
     found = clustering.fit_cluster_counts(_blobs(spark), ("x", "y"), (2, 3))
     assert calls == ["counted-points"] and {k: len(c.scaled_centers()) for k, c in found.items()} == {2: 2, 3: 3}
     assert sorted(r.members for r in found[2].sizes().collect()) == [60, 60]
+
+
+def test_stepwise_against_least_squares(spark):
+    """Each step takes the candidate with the largest r squared of a fit on all chosen so far and itself."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4))
+    x[:, 3] = x[:, 0] + x[:, 1]  # determined by two others
+    y = 3 * x[:, 1] + x[:, 0] + 0.3 * x[:, 2] + rng.normal(size=300)
+    rows = [(*map(float, a), 5.0, float(b)) for a, b in zip(x, y)] + [(None, 1.0, 1.0, 1.0, 5.0, 1.0)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, fixed DOUBLE, y DOUBLE")
+    got = [tuple(r) for r in stepwise(df, ["a", "b", "c", "d", "fixed"], "y").orderBy("step").collect()]
+
+    def r_squared(columns):
+        design = np.column_stack([np.ones(300), x[:, columns]])
+        left = y - design @ np.linalg.lstsq(design, y, rcond=None)[0]
+        return 1 - left.var() / y.var()
+
+    chosen = []
+    for step, feature, found in got:
+        best = max(r_squared([*chosen, i]) for i in range(4) if i not in chosen)
+        chosen.append("abcd".index(feature))
+        assert math.isclose(found, best, abs_tol=1e-9) and math.isclose(found, r_squared(chosen), abs_tol=1e-9) and step == len(chosen)
+    assert len(got) == 3
+    assert stepwise(df, ["fixed"], "y").count() == 0 and stepwise(df, ["a", "b"], "y", steps=1).count() == 1

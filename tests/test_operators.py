@@ -10,15 +10,19 @@ import __spark_entry__ as registered
 from flightlens import fixtures as fx
 from flightlens.functions import in_box, in_years, pieces, with_period
 from flightlens.operators import (
+    as_of,
     band_join,
     change_from_previous,
     contains_join,
     distinct_ranked,
+    many_to_many,
     nearest,
     numbered,
     place_traffic,
     ranked,
     ratio_by,
+    row_numbers,
+    runs_of_months,
     union_by_position,
     with_ticks,
 )
@@ -190,6 +194,18 @@ def test_contains_join_with_a_hot_value(spark):
         assert "skew=true" in _plan(joined)
 
 
+@contextmanager
+def _settings(spark, conf):
+    old = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 @contextmanager
 def _split_small_partitions(spark):
     """No broadcasts, and adaptive execution that calls partitions of a few kilobytes skewed."""
@@ -350,3 +366,103 @@ def test_union_of_years_reads_each_year_once(spark, tables, whole_plans):
     scans = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
     assert len(scans) == 7 and "Union" in plan
     assert all(f"l_shipdate,{1995 + i}-01-01" in scan and f"l_shipdate,{1996 + i}-01-01" in scan for i, scan in enumerate(scans))
+
+
+# nearest, far away
+
+def test_nearest_takes_two_joins_whatever_the_distance(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, -300.0), (3, 5000.0, 0.0), (4, None, 1.0)], "i INT, x DOUBLE, y DOUBLE")
+    right = spark.createDataFrame([(10, 0.5, 0.5), (11, 1.0, 0.0), (12, 100.0, 200.0), (13, None, 0.0)], "j INT, u DOUBLE, v DOUBLE")
+    found = nearest(left, right, [("x", "u"), ("y", "v")], 1.0, key="i", candidate="j")
+    assert [(r.i, r.j) for r in found.orderBy("i").collect()] == [(1, 10), (2, 11)]
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 2 and all("Inner" in line for line in joins)
+
+
+# hot keys in a many-to-many join
+
+@pytest.mark.parametrize("block", [1, 7, 50, 4096])
+def test_many_to_many_loses_no_pair(spark, block):
+    rng = random.Random(block)
+    left = [(rng.choice("aaab"), rng.randrange(3), i) for i in range(200)] + [("hot", 0, i) for i in range(200, 300)] + [(None, 0, 1)]
+    right = [(rng.choice("aabc"), rng.randrange(3), i) for i in range(150)] + [("hot", 0, i) for i in range(150, 250)] + [(None, 0, 1)]
+    joined = many_to_many(
+        spark.createDataFrame(left, "k STRING, d INT, x INT"), spark.createDataFrame(right, "k STRING, d INT, y INT"), ["k", "d"], block=block,
+    )
+    assert joined.columns == ["k", "d", "x", "y"]
+    wanted = [(k, d, x, y) for k, d, x in left for k2, d2, y in right if k == k2 and k is not None and d == d2]
+    assert _rows(joined) == sorted(wanted)
+
+
+def test_many_to_many_spreads_a_hot_key(spark):
+    """A third of all readings at one station on one day: its pairs come out of many tasks."""
+    def readings(name):
+        rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias(name))
+        return rows.repartition(4)
+
+    with _settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        split = many_to_many(readings("x"), readings("y"), ["k"], block=300).filter("k = -1").groupBy(F.spark_partition_id()).count()
+        plain = readings("x").join(readings("y"), "k").filter("k = -1").groupBy(F.spark_partition_id()).count()
+        tasks = sorted(row["count"] for row in split.collect())
+        assert [row["count"] for row in plain.collect()] == [4_000_000]
+    assert sum(tasks) == 4_000_000 and len(tasks) >= 6 and tasks[-1] < 1_200_000
+
+
+# the last reading
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("bucket", [1, 7, 60, 1440])
+def test_as_of_is_the_last_reading(spark, how, bucket):
+    rng = random.Random(bucket)
+    left = [(rng.choice("abc"), rng.randrange(1440), i) for i in range(300)] + [("none", 5, 300), (None, 5, 301), ("a", None, 302), ("a", 1439, 303)]
+    right = [(rng.choice("abx"), rng.randrange(1440), rng.randrange(100)) for _ in range(40)]
+    right += [("a", 700, 1), ("a", 700, 9), ("a", None, 5), (None, 5, 5), ("b", 1439, 4), ("b", 2000, 7)]
+    found = as_of(
+        spark.createDataFrame(left, "k STRING, t INT, i INT"), spark.createDataFrame(right, "k STRING, read INT, v INT"),
+        ["k"], "t", "read", until=1440, bucket=bucket, how=how,
+    )
+    wanted = []
+    for k, t, i in left:
+        before = [(read, v) for k2, read, v in right if k2 == k and None not in (k, t, read) and read <= t and read < 1440]
+        if before or how == "left":
+            wanted.append((k, t, i, *max(before, default=(None, None))))
+    assert found.columns == ["k", "t", "i", "read", "v"]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, wanted))
+
+
+def test_as_of_neither_sorts_nor_gathers_the_facts(spark):
+    left = spark.range(1000).selectExpr("'a' AS k", "id % 1440 AS t")
+    right = spark.createDataFrame([("a", 3, 1)], "k STRING, read INT, v INT")
+    plan = _plan(as_of(left, right, ["k"], "t", "read", until=1440, bucket=60))
+    assert "BroadcastHashJoin" in plan and plan.count("Window [") == plan.count("Window [lead(read") == 1
+    assert plan.count("Exchange hashpartitioning(k") == 2  # of the readings, by time and by key
+
+
+# numbers without one partition
+
+@pytest.mark.parametrize("n", [0, 1, 5, 2000])
+def test_row_numbers_equal_row_number(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([None, *range(20)]), rng.choice("abc"), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "x INT, y STRING, i INT").repartition(6)
+    numbered_rows = row_numbers(df, F.desc("x"), "y", "i")
+    wanted = df.selectExpr("*", "CAST(row_number() OVER (ORDER BY x DESC, y, i) AS BIGINT) AS rank")
+    assert numbered_rows.columns == wanted.columns and dict(numbered_rows.dtypes) == dict(wanted.dtypes)
+    assert _rows(numbered_rows) == _rows(wanted)
+    assert "SinglePartition" not in _plan(numbered_rows)
+
+
+def test_row_numbers_with_ties_in_the_order_are_all_numbers(spark):
+    df = spark.range(500).selectExpr("id % 3 AS x", "id").repartition(5)
+    got = row_numbers(df, "x", start=0).collect()
+    assert sorted(r["rank"] for r in got) == list(range(500))
+    assert [r.x for r in sorted(got, key=lambda r: r["rank"])] == sorted(r.x for r in got)
+
+
+# spans
+
+def test_runs_of_months(spark):
+    months = ["199011", "199012", "199101", "199103", "199104", "NA", None]
+    rows = spark.createDataFrame([("a", m, i) for i, m in enumerate(months)] + [("b", "199012", 7)], "city STRING, m STRING, n INT")
+    got = runs_of_months(rows, "city", "m", total=F.sum("n"))
+    assert _rows(got) == [("a", "199011", "199101", 3, 3), ("a", "199103", "199104", 2, 7), ("b", "199012", "199012", 1, 7)]

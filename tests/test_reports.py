@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,57 @@ def test_summaries_read_the_weather_once(spark, tables, monkeypatch):
     scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("events.parquet")
     assert [label for label, _ in seen] == ["complete-stations", "located-readings"]
     assert [scans(df) for _, df in seen] == [1, 1] and scans(out) == 0
+
+
+# departures and readings
+
+FACT = "Year INT, Month INT, DayofMonth INT, DepTime INT, Origin STRING, Dest STRING, DepDelay STRING"
+READING = "IATA STRING, doy INT, observationTime INT, temperature DOUBLE"
+
+
+def test_departures_take_the_last_reading_of_their_day(spark):
+    facts = spark.createDataFrame([
+        (2008, 1, 5, 701, "SAT", "DFW", "3"), (2008, 1, 5, 659, "SAT", "DFW", "4"), (2008, 1, 5, 2359, "SAT", "DFW", "5"),
+        (2008, 1, 6, 900, "SAT", "DFW", "6"), (2008, 1, 5, 800, "DFW", "SAT", "7"), (2008, 1, 5, 800, "SAT", "DFW", "NA"),
+        (2008, 1, 5, 2460, "SAT", "DFW", "8"), (2008, 1, 5, None, "SAT", "DFW", "9"),
+    ], FACT)
+    readings = spark.createDataFrame([
+        ("SAT", 20080105, 700, 10.0), ("SAT", 20080105, 700, 20.0), ("SAT", 20080105, 1800, 30.0), ("SAT", 20080105, 2500, 99.0),
+        ("SAT", 20070106, 100, 7.0), ("SAT", 20080106, 100, 9.0),
+    ], READING)
+    found = {r.delay: (r.reading_minute, r.temperature) for r in delays.departures_with_readings(facts, readings, how="left").collect()}
+    assert found == {3.0: (420, 15.0), 4.0: (None, None), 5.0: (1080, 30.0), 6.0: (60, 9.0), 7.0: (None, None)}
+    inner = delays.departures_with_readings(facts, readings, calendar_day=True).collect()
+    assert {r.delay: r.temperature for r in inner} == {3.0: 15.0, 5.0: 30.0, 6.0: 8.0}
+
+
+# trends over years and spans
+
+def test_travel_trend_slope_and_jump(spark):
+    edges = _edges(spark, *((
+        "A", "B", "Atown", "Btown", n, 1.0, f"{year}01"
+    ) for year, n in ((1990, 10), (1991, 20), (1992, 10), (1994, 500), (1995, 490))), ("C", "C", "Ctown", "Ctown", 1, 1.0, "199001"))
+    got = {r.city: r for r in trends.travel_trend(edges).collect()}
+    assert (got["Atown"].jump_year, got["Atown"].jump, got["Atown"].years, got["Atown"].flights) == (1991, 10, 5, 1030)
+    assert got["Ctown"].jump is None and got["Ctown"].yearly_change is None and got["Ctown"].flights == 2
+    assert got["Btown"].yearly_change == pytest.approx(np.polyfit([1990, 1991, 1992, 1994, 1995], [10, 20, 10, 500, 490], 1)[0])
+
+
+def test_trend_spans_join_neighbouring_months(spark):
+    usual = [(year, month, 100 + 10 * (month % 2)) for year in range(1990, 2000) for month in range(1, 13)]
+    odd = {(1995, 6): 900, (1997, 3): 800}
+    edges = _edges(spark, *(
+        ("A", "B", "Atown", "Btown", odd.get((year, month), n), 1.0, f"{year}{month:02d}") for year, month, n in usual
+    ))
+    got = [(r["from"], r["to"], r.months) for r in trends.trend_spans(edges).filter("city = 'Atown'").orderBy("from").collect()]
+    # Up and down again in neighbouring months: one span each, whatever the direction.
+    assert got == [("199506", "199507", 2), ("199703", "199704", 2)]
+
+
+def test_ranked_reports_number_their_rows(spark, edges):
+    rows = traffic.routes_by_distance(edges, rank=True).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    plain = traffic.routes_by_distance(edges).collect()
+    assert [(r.origin_city, r.distance) for r in rows] == [(r.origin_city, r.distance) for r in plain]
+    top = traffic.traffic_by_city_month(edges, rank=True, top=2).collect()
+    assert sorted(r["rank"] for r in top) == [1, 2]

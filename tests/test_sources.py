@@ -1,9 +1,11 @@
 """Small files written by the test and read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from flightlens import schemas
+from flightlens import schemas, sources
 from flightlens.operators import average_by, union_by_position
+from flightlens.plans import delays
 from flightlens.plans.delays import avg_arrival_delay_by_year
 from flightlens.sources import (
     read_airports,
@@ -136,3 +138,56 @@ def test_report_copy(spark, tmp_path):
     target = str(tmp_path / "report")
     write_report(spark.range(5), target)
     assert spark.read.parquet(target).count() == 5
+
+
+# lines that cannot be read
+
+def _quarantined(spark, read, folder, lines, **options):
+    """Rows and the lines put aside, from a file of some lines."""
+    (folder / "in").mkdir()
+    (folder / "in" / "a.txt").write_text("\n".join(lines) + "\n")
+    rows = sources.quarantine(read(spark, str(folder / "in"), keep_unreadable=True, **options), str(folder / "bad"))
+    return rows, spark.read.parquet(str(folder / "bad")).collect()
+
+
+def test_unreadable_facts_are_put_aside(spark, tmp_path):
+    names = [field.name for field in StructType.fromDDL(schemas.FLIGHT_FACTS)]
+    good = dict.fromkeys(names, "NA") | {"Year": "1990", "Month": "1", "ArrDelay": "NA", "Origin": "SAT"}
+    line = lambda **values: ",".join((good | values).values())
+    bad = [line(Year="19x0"), line() + ",7", "1990,1", line(SecurityDelay="late")]
+    rows, aside = _quarantined(spark, sources.read_flight_facts, tmp_path, [",".join(names), line(), *bad, line(ArrDelay="5")])
+    assert sorted((r.Year, r.ArrDelay, r.Origin) for r in rows.collect() if r.ArrDelay) == [(1990, 5, "SAT")]
+    # Few columns asked for: a line is as unreadable as when all are.
+    assert rows.count() == 2 and rows.select("Origin").count() == 2 and rows.agg({"Year": "sum"}).first()[0] == 3980
+    assert sorted(r.line for r in aside) == sorted(bad) and all(r.file.endswith("a.txt") for r in aside)
+    assert {r.line: r.parsed for r in aside}["1990,1"] == '{"Year":1990,"Month":1}'
+
+
+def test_unreadable_edges_airports_weather_and_stations(spark, tmp_path):
+    for name in "abcd":
+        (tmp_path / name).mkdir()
+    head = "\t".join(field.name for field in StructType.fromDDL(schemas.FLIGHT_EDGES))
+    edge = "AAA\tBBB\tA\tB\t1\t2\t3\t4.5\t199001\t7\t"
+    rows, aside = _quarantined(spark, sources.read_flight_edges, tmp_path / "a", [head, edge, edge.replace("4.5", "far"), "AAA"])
+    assert rows.count() == 1 and sorted(r.line for r in aside) == ["AAA", edge.replace("4.5", "far")]
+    assert rows.first().destination_population is None
+    rows, aside = _quarantined(spark, sources.read_airports, tmp_path / "b", [
+        "IATA,AirportName,City,Country,Latitude,Longitude", "SAT,San,S,US,29.5,-98.4", "X,Y,Z,W,north,1", "Q,R,S,T,1,2,3",
+    ])
+    assert sorted((r.IATA, r.Latitude) for r in rows.collect()) == [("SAT", 29.5), ("X", None)] and [r.line for r in aside] == ["Q,R,S,T,1,2,3"]
+    rows, aside = _quarantined(spark, sources.read_weather, tmp_path / "c", ["S1,20240101,TOBS,5,,,,700", "S1,2024x,TOBS,5,,,,700", "S2,20240102,PRCP,1,,,,"])
+    assert sorted(r.stationCode for r in rows.collect()) == ["S1", "S2"] and len(aside) == 1
+    line = "USW00023183  33.4278 -112.0038  337.4 AZ PHOENIX"
+    rows, aside = _quarantined(spark, sources.read_stations, tmp_path / "d", [line, "USW0002", line.replace("33.4278", "3x.4278")])
+    assert [tuple(r) for r in rows.collect()] == [("USW00023183", 33.4278, -112.0038)] and len(aside) == 2
+
+
+def test_yearly_copy_opens_the_years_a_join_names(spark, tmp_path):
+    rows = [(year, month, str(month), 0) for year in range(1990, 2000) for month in (1, 2)]
+    facts = spark.createDataFrame(rows, "Year INT, Month INT, ArrDelay STRING, Cancelled INT")
+    sources.write_by_year(facts, str(tmp_path / "facts"))
+    edges = spark.createDataFrame([(y, 100 if y in (1993, 1997) else 1) for y in range(1990, 2000)], "fly_year INT, passengers INT")
+    out = delays.delays_in_busiest_years(sources.read_by_year(spark, str(tmp_path / "facts")), edges, 2)
+    got = [(r.Year, r["rank"], r.Month, r.flights) for r in out.collect()]
+    assert got == [(1993, 1, 1, 1), (1993, 1, 2, 1), (1997, 2, 1, 1), (1997, 2, 2, 1)]
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
