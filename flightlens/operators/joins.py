@@ -113,24 +113,25 @@ def nearest(
     while widths[-1] <= widest:
         widths.append(2 * widths[-1])
     axes = range(len(on))
-    cells, steps = [f"_c{i}" for i in axes], F.array(*(F.lit(w * CELL_MARGIN) for w in widths))
+    cells = [f"_c{i}" for i in axes]
     keys = left.na.drop(subset=[a for a, _ in on]).select(F.col(key).alias("_key"), *(F.col(a).alias(f"_a{i}") for i, (a, _) in enumerate(on)))
     points = right.na.drop(subset=[b for _, b in on]).select(
         F.col(candidate).alias("_candidate"), *(F.col(b).alias(f"_b{i}") for i, (_, b) in enumerate(on)),
     )
 
+    def in_cells(df: DataFrame, prefix: str) -> DataFrame:
+        # Levels double the width, so the product is exact and the same on both sides.
+        step = F.lit(width * CELL_MARGIN) * F.pow(F.lit(2.0), F.col("_level"))
+        return df.select("*", *(F.floor(F.col(f"{prefix}{i}") / step).alias(cells[i]) for i in axes))
+
     def on_levels(df: DataFrame, prefix: str) -> DataFrame:
-        levels = F.array(*(
-            F.struct(F.lit(level).alias("_level"), *(F.floor(F.col(f"{prefix}{i}") / (w * CELL_MARGIN)).alias(cells[i]) for i in axes))
-            for level, w in enumerate(widths)
-        ))
-        return df.select("*", F.inline(levels))
+        return in_cells(df.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(widths) - 1))).alias("_level")), prefix)
 
     def around(df: DataFrame) -> DataFrame:
-        shifts = F.array(*(
-            F.struct(*((F.col(cell) + shift).alias(cell) for cell, shift in zip(cells, shifts))) for shifts in product((-1, 0, 1), repeat=len(on))
-        ))
-        return df.select(*(name for name in df.columns if name not in cells), F.inline(shifts))
+        for cell in cells:
+            shifted = F.explode(F.sequence(F.col(cell) - 1, F.col(cell) + 1)).alias(cell)
+            df = df.select(*(name for name in df.columns if name != cell), shifted)
+        return df
 
     gaps = [F.col(f"_a{i}") - F.col(f"_b{i}") for i in axes]
     apart = F.sqrt(reduce(add, (gap * gap for gap in gaps)))
@@ -138,9 +139,7 @@ def nearest(
     near = around(on_levels(keys, "_a")).join(filled, ["_level", *cells])
     bounded = near.groupBy("_key", *(f"_a{i}" for i in axes)).agg(F.min(apart).alias("_bound"))
     level = reduce(lambda wider, k: F.when(F.col("_bound") <= widths[k], k).otherwise(wider), range(len(widths) - 2, -1, -1), F.lit(len(widths) - 1))
-    placed = bounded.withColumn("_level", level)
-    step = F.element_at(steps, F.col("_level") + 1)
-    sought = around(placed.select("*", *(F.floor(F.col(f"_a{i}") / step).alias(cells[i]) for i in axes)))
+    sought = around(in_cells(bounded.withColumn("_level", level), "_a"))
     pairs = on_levels(points, "_b").join(sought, ["_level", *cells]).select("_key", "_candidate", apart.alias("_distance"))
     best = pairs.filter(F.col("_distance") < widths[-1]).groupBy("_key").agg(F.min(F.struct("_distance", "_candidate")).alias("_best"))
     return best.select(F.col("_key").alias(key), F.col("_best._distance").alias("distance"), F.col("_best._candidate").alias(candidate))

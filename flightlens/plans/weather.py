@@ -55,8 +55,9 @@ def airports_near_stations(airports: DataFrame, stations: DataFrame, width: floa
 
 def nearest_station(airports: DataFrame, stations: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
     """For each airport the closest station, with the distance in degrees; the search begins within the band."""
-    ports = airports.select("IATA", "Longitude", "Latitude")
-    places = stations.select("stationCode", "long", "lat")
+    # Both joins of the search read the places, so that these are put together once.
+    ports = materialize(airports.select("IATA", "Longitude", "Latitude"), "airport-places")
+    places = materialize(stations.select("stationCode", "long", "lat"), "station-places")
     return nearest(ports, places, BAND, width, key="IATA", candidate="stationCode")
 
 
