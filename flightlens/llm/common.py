@@ -39,15 +39,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, in local mode only, a folder made for this session."""
+    """``spark.checkpoint.dir``; where it is unset, in local mode only, a folder in the warehouse. No setting is changed."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="flightlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -68,6 +66,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it none of the columns of ``df``."""
+    taken, out = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def whole(text: str | Column = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flightlens.llm.common import ascii_lower, documents, id_and_text, new_path, whole, written
+from flightlens.llm.common import ascii_lower, documents, free_names, id_and_text, new_path, whole, written
 
 BUCKETS = 32
 
@@ -81,12 +81,11 @@ def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
 
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns; of rows that repeat one, one."""
-    kept = decisions.where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest"),
-    ).distinct()
-    marked = docs.withColumn("__digest", text_digest(text_col))
-    same = (F.col("__digest") == F.col("__kept_digest")) & F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id"))
-    return marked.join(kept, same).dropDuplicates(["__kept_digest", "__kept_id"]).select(*docs.columns)
+    own, kept_id, kept_digest = free_names(docs, "own_digest", "kept_id", "kept_digest")
+    kept = decisions.where("kept").select(F.col("doc_id").alias(kept_id), F.col("digest").alias(kept_digest)).distinct()
+    marked = docs.withColumn(own, text_digest(text_col))
+    same = (F.col(own) == F.col(kept_digest)) & F.col(id_col).cast("long").eqNullSafe(F.col(kept_id))
+    return marked.join(kept, same).dropDuplicates([kept_digest, kept_id]).select(*docs.columns)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

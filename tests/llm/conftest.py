@@ -8,7 +8,8 @@ SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT
 CLASHING = (
     "digest", "keep_id", "kept", "group_size", "blob", "found", "size", "target", "position", "copies", "copy", "words", "fp", "root",
     "component_id", "length", "piece", "sequence_id", "offset", "start", "score", "positive", "order", "shard", "slice", "end",
-    "next_text", "uid", "held_out", "lang_pred", "__rank", "__slice", "__order",
+    "next_text", "uid", "held_out", "lang_pred", "__rank", "__slice", "__order", "__digest", "__text",
+    "__id", "__tie", "own_digest", "kept_id", "kept_digest", "row_id", "row_tie", "row_text", "row_source", "row_copy", "row_position",
 )
 
 
