@@ -7,10 +7,10 @@ copies do not travel), looks up which rule versions each blob has behind it, run
 findings and then pairs, and joins the findings of all blobs back to every path that has them. A scan
 that broke off before its pairs were appended is run again in full; its findings are read once.
 
-Spans come from built-in regular expressions: the pieces between matches and the matches themselves
-give every match's place in code points. Nothing runs in Python.
+Spans come from built-in regular expressions: the lengths of the pieces between matches and of the matches
+themselves, added up in order, give every match's place in code points. Nothing runs in Python.
 
-Defined cases: a null text is the empty text; a null path is reported under null; repeated rows are
+Defined cases: a null text is the empty text; a very long text is scanned whole, in one task; a null path is reported under null; repeated rows are
 reported once each; an empty table gives no rows; other columns are not read.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flightlens.llm.common import documents, new_path, whole, written
 
@@ -53,26 +53,29 @@ ADDED_RULES = (
 RULES = BASE_RULES + ADDED_RULES
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end>> in code points, end exclusive: leftmost matches that do not overlap."""
-    none = F.expr("CAST(array() AS array<struct<start: bigint, end: bigint>>)")
+def parts(text: Column, rule: Rule) -> Column:
+    """array<struct<gap, hit, enough>>: lengths before and of each leftmost match, and whether it is long enough; null if none is."""
     pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(
+    pieces = F.arrays_zip(
         F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("tested"),
     )
+    lengths = F.transform(pieces, lambda part: F.struct(
+        F.length(part["gap"]).alias("gap"), F.coalesce(F.length(part["hit"]), F.lit(0)).alias("hit"),
+        F.coalesce(F.length(part["tested"]) >= rule.least, F.lit(False)).alias("enough"),
+    ))
+    return F.when(text.rlike(rule.pattern), lengths)
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
-        here = F.array(F.struct(start.cast("long").alias("start"), end.cast("long").alias("end")))
-        return F.struct(
-            end.cast("long").alias("at"),
-            F.when(F.length(part["tested"]) >= rule.least, F.concat(acc["found"], here)).otherwise(acc["found"]).alias("found"),
-        )
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
-    return F.when(text.rlike(rule.pattern), F.aggregate(parts, start, step, lambda acc: acc["found"])).otherwise(none)
+def placed(rows: DataFrame) -> DataFrame:
+    """(blob, rule, kind, start, end) from (blob, rule, kind, parts): code points, end exclusive.
+
+    Places are running sums of lengths, so the work on a text grows with its matches.
+    """
+    so_far = Window.partitionBy("blob", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = rows.where(F.exists("parts", lambda part: part["enough"])).select("blob", "rule", "kind", F.posexplode("parts").alias("pos", "part"))
+    ends = each.withColumn("end", F.sum(F.col("part.gap").cast("long") + F.col("part.hit")).over(so_far))
+    return ends.where("part.enough").select("blob", "rule", "kind", (F.col("end") - F.col("part.hit")).alias("start"), "end")
 
 
 class BlobLedger:
@@ -105,15 +108,13 @@ class BlobLedger:
         """Run each rule on the blobs of ``versions`` (blob, text) that it has not seen and record both."""
         by_rule = F.array(*(
             F.when(F.array_contains("todo", rule.name), F.struct(
-                F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), spans(F.col("text"), rule).alias("spans"),
+                F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), parts(F.col("text"), rule).alias("parts"),
             )) for rule in rules
         ))
         results = written(
             self.unseen(versions, rules).select("blob", F.filter(by_rule, lambda r: r.isNotNull()).alias("results")), "scan",
         ).select("blob", F.explode("results").alias("r"))
-        results.select("blob", "r.rule", "r.kind", F.explode("r.spans").alias("s")).select(
-            "blob", "rule", "kind", "s.start", "s.end",
-        ).write.mode("append").parquet(f"{self.path}/findings")
+        placed(results.select("blob", "r.rule", "r.kind", "r.parts")).write.mode("append").parquet(f"{self.path}/findings")
         results.select("blob", "r.rule").write.mode("append").parquet(f"{self.path}/scanned")
 
     def by_path(self, paths: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
