@@ -7,7 +7,8 @@ its buckets and not shuffled, leaves the digests that are new; they are appended
 never texts, and joining decisions back to rows is a plain equality join whose hot keys adaptive
 execution splits.
 
-Defined cases: a null text counts as empty, and empty texts are copies of each other; a null doc_id
+Defined cases: a null text counts as empty, and empty texts are copies of each other; a very long text
+is hashed where it lies and does not travel with its digest; a null doc_id
 sorts below all others and stays only where its text has no other; repeated rows are copies (rows
 that repeat doc_id and text are all marked as kept, ``keep_rows`` lets one of them through); an empty
 batch leaves the index as it is; other columns are not read.
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlens.llm.common import ascii_lower, documents, free_names, id_and_text, new_path, whole, written
 
-BUCKETS = 32
+BUCKETS = 32  # at least
+BUCKET_ROWS = 4_000_000  # of the first batch, about 200 MB of digests
 
 
 def text_digest(text: str | Column = "text") -> Column:
@@ -30,32 +32,70 @@ def text_digest(text: str | Column = "text") -> Column:
 class DigestIndex:
     """The index at ``path``; it opens what an earlier job has left there.
 
-    Choose ``buckets`` so that a bucket of the full index fits a task (a few hundred MB); it must
-    stay the same for the life of an index.
+    Without ``buckets`` the first batch decides their number, one for ``BUCKET_ROWS`` digests. It is kept beside the
+    index. Every append adds a file to each bucket; ``compacted`` gives an index of one sorted file each, with as
+    many buckets as its rows ask for by then.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.bucket_rows, self.buckets = spark, bucket_rows, None
         self.path = path or new_path(spark, "digests")
         self.table = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path)[-80:]
-        spark.sql(
+        layout = spark.createDataFrame([], "buckets INT")
+        layout.write.mode("append").parquet(self._layout)
+        kept = spark.read.schema("buckets INT").parquet(self._layout).agg(F.max("buckets")).first()[0]
+        if kept or buckets:
+            self._create(kept or buckets, known=kept is not None)
+
+    @property
+    def _layout(self) -> str:
+        return f"{self.path}-layout"
+
+    def _create(self, buckets: int, known: bool = False) -> None:
+        if not known:
+            self.spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("append").parquet(self._layout)
+        self.buckets = buckets
+        self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
         )
 
+    def _fit(self, rows: int) -> None:
+        """Nothing has decided yet: the rows do. None decide nothing."""
+        if self.buckets is None and rows:
+            self._create(max(BUCKETS, -(-rows // self.bucket_rows)))
+
     def rows(self) -> DataFrame:
+        if self.buckets is None:
+            return self.spark.createDataFrame([], "digest BINARY, keep_id BIGINT")
         return self.spark.table(self.table)
 
     def new_in(self, digests: DataFrame) -> DataFrame:
         """(digest, keep_id): digests of the batch that the index lacks, each with its largest doc_id."""
-        batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
+        batch = written(digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "batch")
+        if self.buckets is None:
+            self._fit(batch.count())
+        if self.buckets is None:
+            return batch
         known = self.rows().select("digest").hint("merge")
-        return written(batch, "batch").repartition(self.buckets, "digest").join(known, "digest", "left_anti")
+        return batch.repartition(self.buckets, "digest").join(known, "digest", "left_anti")
 
     def append(self, digests: DataFrame) -> None:
         """Add a batch of (doc_id, digest). Running it again after a failure adds nothing twice."""
-        self.new_in(digests).sortWithinPartitions("digest").write.insertInto(self.table)
-        self.spark.catalog.refreshTable(self.table)
+        new = self.new_in(digests)
+        if self.buckets is not None:
+            new.sortWithinPartitions("digest").write.insertInto(self.table)
+            self.spark.catalog.refreshTable(self.table)
+
+    def compacted(self, path: str | None = None) -> DigestIndex:
+        """The same digests at another path; this index stays as it is, so a job that breaks off loses nothing."""
+        rows = self.rows()
+        new = DigestIndex(self.spark, path, bucket_rows=self.bucket_rows)
+        new._fit(rows.count())
+        if new.buckets is not None:
+            rows.repartition(new.buckets, "digest").sortWithinPartitions("digest").write.insertInto(new.table, overwrite=True)
+            self.spark.catalog.refreshTable(new.table)
+        return new
 
 
 def digests_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -50,6 +50,23 @@ def test_exact_dedup_of_nothing(spark, make_docs):
     assert exact.deduplicate(make_docs([]), exact.DigestIndex(spark)).count() == 0
 
 
+def test_digest_index_grows_with_its_first_batch_and_is_compacted(spark, make_docs, tmp_path):
+    path = str(tmp_path / "index")
+    index = exact.DigestIndex(spark, path, bucket_rows=2)
+    index.append(exact.digests_of(make_docs([])))
+    assert index.buckets is None and index.rows().count() == 0
+    index.append(exact.digests_of(make_docs([(i, f"text {i}", None, None) for i in range(150)])))
+    assert index.buckets == 75
+    again = exact.DigestIndex(spark, path, bucket_rows=2)
+    again.append(exact.digests_of(make_docs([(i, f"text {i}", None, None) for i in range(100, 250)])))
+    assert again.buckets == 75 and again.rows().count() == 250
+    smaller = again.compacted()
+    assert smaller.buckets == 125 and sorted(smaller.rows().collect()) == sorted(again.rows().collect())
+    files = {r["f"] for r in smaller.rows().select(F.input_file_name().alias("f")).collect()}
+    assert len(files) <= 125
+    assert smaller.new_in(exact.digests_of(make_docs([(7, "TEXT 7", None, None), (8, "new", None, None)]))).count() == 1
+
+
 # mixing
 
 def fill(sizes, weights, most=3):
@@ -156,6 +173,13 @@ def test_ledger_scans_only_unseen_pairs(spark, make_docs, tmp_path):
     assert again.findings().count() == again.findings().distinct().count()
 
 
+def test_many_secrets_in_one_text(spark, make_docs):
+    """Work grows with the matches: 200,000 of them in a text are placed as plain Python places them."""
+    text = "".join(f"{i:016x} é" for i in range(200_000))
+    got = scan.scan_secrets(make_docs([(1, text, None, None)]), scan.BlobLedger(spark), "doc_id", rules=scan.BASE_RULES).first()
+    assert [(s["start"], s["end"]) for s in got["found"]] == [(18 * i, 18 * i + 16) for i in range(200_000)]
+
+
 def test_secrets_of_nothing(spark, make_docs):
     assert scan.scan_secrets(make_docs([]), scan.BlobLedger(spark), "doc_id").count() == 0
 
