@@ -7,10 +7,12 @@ at least ``OWNED`` times as frequent in it as in any other. Predicting counts, f
 trigrams of a text that it owns. A filter with a share f of a language's bits set answers yes to a
 strange trigram with chance f ** HASHES; shares are corrected for that, and the largest decides.
 
-What is collected and broadcast is the array: ``places`` masks at most, whatever the corpus.
+What is collected and broadcast is the array. A language owns only trigrams that are at least ``RARE`` of its text, so
+it owns 1 / ``RARE`` at most, whatever the corpus; the array has ``ROOM`` places for each trigram of the language
+that owns most, rounded up to a power of two, so at most 2^23 and never under ``PLACES``.
 
 Trigrams are taken from lower-case letters, with one space for what lies between words; none spans two
-words. Defined cases: null texts and texts without a letter get ``und`` and score 0; a text none of
+words. A very long text is worked on alone, whole. Defined cases: null texts and texts without a letter get ``und`` and score 0; a text none of
 whose trigrams any language owns gets the language with most training text and score 0, and ties go
 to the first language by code point; with nothing to learn from, all texts get ``und``; a null doc_id is
 never held out; repeated rows are predicted each; other columns are not read.
@@ -28,7 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flightlens.llm.common import documents, id_and_text, written
 
-PLACES = 1 << 21
+PLACES = 1 << 21  # at least
+ROOM = 8
+RARE = 1e-6
 HASHES = 4
 OWNED = 0.5
 LEAST = 2
@@ -136,25 +140,28 @@ class LanguageFilter:
 
 
 def train(
-    docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", places: int = PLACES, hashes: int = HASHES,
-    owned: float = OWNED, least: int = LEAST,
+    docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", places: int | None = None, hashes: int = HASHES,
+    owned: float = OWNED, least: int = LEAST, rare: float = RARE, least_places: int = PLACES,
 ) -> LanguageFilter:
-    """Learn from all rows of ``docs`` that have a text and a language."""
+    """Learn from all rows of ``docs`` that have a text and a language; ``places``, a power of two, fixes the filter's size."""
     counts = written(gram_counts(docs, lang_col, text_col), "grams")
     totals = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    masks = np.zeros((places, max(1, -(-len(languages) // 64))), np.uint64)
     if not languages:
-        return LanguageFilter([], masks, hashes, 0)
+        return LanguageFilter([], np.zeros((1, 1), np.uint64), hashes, 0)
     number = F.create_map(*(x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))))
     total = F.create_map(*(x for lang in languages for x in (F.lit(lang), F.lit(float(totals[lang])))))
-    rates = counts.where(F.col("n") >= least).groupBy("gram").agg(
+    rates = counts.where((F.col("n") >= least) & (F.col("n") >= total[F.col("lang")] * rare)).groupBy("gram").agg(
         F.collect_list(F.struct((F.col("n") / total[F.col("lang")]).alias("rate"), number[F.col("lang")].alias("number"))).alias("rates"),
     )
     top = F.array_max(F.transform("rates", lambda r: r["rate"]))
-    owners = rates.withColumn("top", top).select(
+    owners = written(rates.withColumn("top", top).select(
         "gram", F.explode(F.filter("rates", lambda r: r["rate"] >= F.col("top") * owned)).alias("r"),
-    ).select("gram", "r.number")
+    ).select("gram", "r.number"), "owners")
+    if places is None:
+        most = owners.groupBy("number").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+        places = 1 << (max(least_places, ROOM * most) - 1).bit_length()
+    masks = np.zeros((places, -(-len(languages) // 64)), np.uint64)
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
