@@ -16,7 +16,7 @@ Bounds: the sample has about ``POSITIVES`` toxic and ``UNLABELLED`` unlabelled t
 doc_id; equal texts count once. The prior is the share of toxic rows among all labelled ones learnt
 from.
 
-Defined cases: a null text is empty, and empty texts get the score of no feature; without toxic or
+Defined cases: a null text is empty; a very long text is worked on alone, whole; an empty table gives no rows; empty texts get the score of no feature; without toxic or
 unlabelled texts to learn from all scores are the prior, or 0 without labels; a label that is null, or
 whose doc_id is null or unknown, is not used; repeated rows are scored each; other columns are not read.
 """
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flightlens.llm.common import documents, id_and_text
+from flightlens.llm.common import documents, id_and_text, written
 from flightlens.llm.language_id import chunks, fold, letters, lowered
 
 POSITIVES = 6_000
@@ -158,7 +158,9 @@ def train(
         """A hash below this keeps about ``most`` rows of ``of``."""
         return F.pmod(order, F.lit(1 << 30)) < int(min(1.0, most / max(of, 1)) * (1 << 30))
 
-    sure = known.where("toxic = 1").where(share(positives, counts["toxic"])).select("doc_id").distinct()
+    sure = written(known.where("toxic = 1").where(share(positives, counts["toxic"])).select("doc_id").distinct(), "sure")
+    if sure.count() <= 2 * positives:  # about ``positives`` ids by their hashes: texts need not be shuffled to find them
+        sure = F.broadcast(sure)
     sample = texts.join(sure, "doc_id", "left_semi").withColumn("positive", F.lit(True)).union(
         texts.where(share(unlabelled, size)).withColumn("positive", F.lit(False)),
     ).dropDuplicates(["text", "positive"])

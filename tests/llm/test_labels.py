@@ -71,6 +71,43 @@ def test_filter_returns_all_owners():
     assert np.bitwise_and.reduce(masks[lang.places_of(own, 1 << 10, 4)], axis=0).all()
 
 
+def plain_languages(rows):
+    """{doc_id: {lang: share of its trigrams that the lang owns}} with sets in place of the filter."""
+    def spelt(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        padded = " " + " ".join(words) + " "
+        grams = [padded[i:i + 3] for i in range(len(padded) - 2)]
+        return [g for g in grams if g[1] != " "]
+
+    counts = {}
+    for _, text, name in rows:
+        if name is not None:
+            for g in spelt(text or ""):
+                counts.setdefault(name, {}).setdefault(g, 0)
+                counts[name][g] += 1
+    totals = {name: sum(c.values()) for name, c in counts.items()}
+    rates = {}
+    for name, c in counts.items():
+        for g, n in c.items():
+            if n >= lang.LEAST:
+                rates.setdefault(g, {})[name] = n / totals[name]
+    owners = {g: {name for name, r in by.items() if r >= max(by.values()) * lang.OWNED} for g, by in rates.items()}
+    return {i: {name: sum(name in owners.get(g, ()) for g in spelt(text or "")) / max(len(spelt(text or "")), 1) for name in counts} for i, text, _ in rows}
+
+
+@pytest.mark.parametrize("least_places", [lang.PLACES, 64])
+def test_filter_against_sets(spark, least_places):
+    """Shares by the filter are those by sets, at its least size and at a size its owners ask for."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = sorted(map(tuple, docs.collect()))
+    wanted = plain_languages(rows)
+    model = lang.train(docs, least_places=least_places)
+    assert least_places == lang.PLACES and len(model.masks) == lang.PLACES or 1 << 12 < len(model.masks) < lang.PLACES
+    shares, _ = model.shares([text or "" for _, text, _ in rows], model.false_yes())
+    off = np.abs(shares - [[wanted[i][name] for name in model.languages] for i, *_ in rows])
+    assert off.max() < (1e-3 if least_places == lang.PLACES else 0.2) and off.mean() < 0.02
+
+
 def test_trigrams():
     grams, owner, lettered = lang.trigrams(["Ab, cD", "", "1 2", "é"])
     spell = lambda g: "".join(chr(g >> s & 0x1FFFFF) for s in (42, 21, 0))
@@ -79,7 +116,7 @@ def test_trigrams():
 
 
 def test_toxicity_query(spark):
-    """On tables with few toxic rows the English ones, which share words, are found."""
+    """On tables with few toxic rows: most are found, of the English ones, which share words, nearly all."""
     rows = {r["doc_id"]: r for r in tox.op4_toxicity(spark, "/root/testdata/sf0.1").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang").collect()}
@@ -88,6 +125,8 @@ def test_toxicity_query(spark):
     held = [(rows[x["doc_id"]], x["toxic"]) for x in labels if rows[x["doc_id"]]["held_out"] and docs[x["doc_id"]] == "en"]
     assert np.mean([r["predicted"] for r, y in held if y == 1]) >= 0.8
     assert np.mean([r["predicted"] for r, y in held if y == 0]) <= 0.03
+    everywhere = [(rows[x["doc_id"]]["predicted"], x["toxic"]) for x in labels if rows[x["doc_id"]]["held_out"]]
+    assert np.mean([p for p, y in everywhere if y == 1]) >= 0.75 and np.mean([p for p, y in everywhere if y == 0]) <= 0.05
 
 
 def test_features():
