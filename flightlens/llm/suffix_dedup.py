@@ -5,7 +5,7 @@ further to the front of the same document. Not every suffix need be sorted for t
 the same anchor (see ``windows``), so suffixes that start at anchors, about one in thirty, find all.
 
 1. Sampled suffixes give splitters that range-partition suffixes by their leading eight bytes, one bucket
-   for ``BUCKET_BYTES`` of text. A leading word that fills several buckets by itself is spread over
+   for ``BUCKET_BYTES`` of text; past ``RANGES`` buckets a range has several, dealt by a hash of those bytes. A leading word that fills several buckets by itself is spread over
    them by hash, so a passage in a third of all documents does not fill one task.
 2. A bucket is sorted by leading words, ties by hashes, so this is not full suffix order. Stretches
    of strings equal to an earlier one as a whole are repeated; of equal stretches only the first goes
@@ -33,13 +33,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flightlens.llm.common import documents, id_and_text, whole, written
 from flightlens.llm.windows import GRAM, LENGTH, Hashes, stretches
 
 BUCKET_BYTES = 8 << 20
-SAMPLE_DOCS = 2000  # documents, about, from which splitters are drawn
+RANGES = 1 << 16  # at most, of leading words
+SAMPLE_DOCS = 2000  # documents, about, from which splitters are drawn: more where there are over 8,000 ranges
 SAMPLE_SUFFIXES = 64  # at most, of each of them
 CHUNK = 4 << 20  # bytes of text worked on at a time
 HELD = 48 << 20  # bytes of text a task holds back the records of
@@ -85,17 +86,26 @@ def _leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Splitters:
-    """Buckets by leading word; a word that is a splitter more than once owns the buckets between."""
+    """Buckets by leading word: ranges of words, each dealt by hash to as many buckets as its share of the text asks for.
 
-    def __init__(self, words: np.ndarray, buckets: int):
-        at = np.linspace(0, len(words), buckets + 1)[1:-1].astype(int)
+    A word that is a splitter more than once owns the buckets of the ranges between. There are ``ranges`` at most, so
+    what every task is sent is bounded, however many buckets there are.
+    """
+
+    def __init__(self, words: np.ndarray, buckets: int, ranges: int = RANGES):
+        ranges = min(buckets, ranges)
+        self.dealt = -(-buckets // ranges)
+        at = np.linspace(0, len(words), ranges + 1)[1:-1].astype(int)
         self.cuts = np.sort(words)[at] if len(words) else np.empty(0, np.uint64)
 
     def of(self, words: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of each word, by the hash ``spread`` where it owns several, and whether it does."""
+        """Bucket of each word, by the hash ``spread`` where it owns several ranges, and whether it does."""
         low, high = np.searchsorted(self.cuts, words, "left"), np.searchsorted(self.cuts, words, "right")
         several = high - low > 1
-        return (low + np.where(several, spread % np.maximum(high - low, 1).astype(np.uint64), 0).astype(np.int64)), several
+        mixed = (words ^ words >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+        own = np.where(several, high - low, 1).astype(np.uint64) * np.uint64(self.dealt)
+        by = np.where(several, spread.astype(np.uint64), mixed ^ mixed >> np.uint64(32))
+        return low * self.dealt + (by % own).astype(np.int64), several
 
 
 def _chunks(texts: list[bytes], chunk: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -315,7 +325,8 @@ def repeated_spans(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES, chunk:
     """(doc, tie, spans) for ``docs`` (doc, tie, text as binary): array of (start, stop) in bytes, merged."""
     size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("bytes")).first()
     buckets = max(1, -(-size["bytes"] // bucket_bytes))
-    share = min(1.0, SAMPLE_DOCS / max(size["rows"], 1))
+    sampled = max(SAMPLE_DOCS, min(buckets, RANGES) // 4)
+    share = min(1.0, sampled / max(size["rows"], 1))
 
     def leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -337,14 +348,13 @@ def repeated_spans(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES, chunk:
     )
     strings = edges.where("bucket IS NOT NULL").groupBy("bucket").applyInPandas(_strings, "doc BIGINT, tie BIGINT, start BIGINT, stop BIGINT")
     spans = edges.where("bucket IS NULL").select("doc", "tie", "start", "stop").unionByName(strings)
-    listed = spans.groupBy("doc", "tie").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    # In order of start, a span that begins within the last one lengthens it.
-    return written(listed.select("doc", "tie", F.expr("""
-        aggregate(spans, CAST(array() AS array<struct<start: bigint, stop: bigint>>), (out, s) ->
-          IF(size(out) > 0 AND s.start <= element_at(out, -1).stop,
-             concat(slice(out, 1, size(out) - 1),
-                    array(named_struct('start', element_at(out, -1).start, 'stop', greatest(element_at(out, -1).stop, s.stop)))),
-             concat(out, array(s))))""").alias("spans")), "spans")
+    # A span that begins within those before it lengthens their run.
+    in_order = Window.partitionBy("doc", "tie").orderBy("start", "stop")
+    before = F.max("stop").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = spans.withColumn("begins", F.coalesce(F.col("start") > before, F.lit(True)).cast("long"))
+    runs = begins.withColumn("run", F.sum("begins").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = runs.groupBy("doc", "tie", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return written(merged.groupBy("doc", "tie").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")), "spans")
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:

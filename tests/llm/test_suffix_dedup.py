@@ -106,3 +106,18 @@ def test_query_on_given_documents(spark):
     got = suffix.op1_suffix_dedup(spark, sf).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == sorted((i, *wanted[i, t]) for i, t in map(tuple, docs))
     assert sum(r["n_removed"] for r in got) > 0
+
+
+def test_more_buckets_than_ranges():
+    """Few splitters serve many buckets: equal words meet, frequent ones are spread, and buckets stay even."""
+    rng = np.random.default_rng(0)
+    words = rng.integers(0, 1 << 63, 200_000).astype(np.uint64)
+    words[::10] = 5
+    splitters = suffix.Splitters(words[:4000], 10_000, ranges=100)
+    spread = rng.integers(0, 1 << 63, len(words)).astype(np.uint64)
+    bucket, several = splitters.of(words, spread)
+    assert len(splitters.cuts) < 100 and bucket.min() >= 0 and bucket.max() < 10_000
+    assert (several == (words == 5)).all() and np.bincount(bucket).max() < 100
+    rare = ~several
+    assert (bucket[rare] == splitters.of(words[rare], spread[rare] + np.uint64(1))[0]).all()
+    assert (np.diff(bucket[rare][np.argsort(words[rare])] // splitters.dealt) >= 0).all()
