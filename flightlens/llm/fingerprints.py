@@ -1,40 +1,54 @@
 """Document fingerprints as invertible Bloom lookup tables of paragraph digests.
 
-A text is the set of XXH64 digests of its paragraphs: its lines, those over ``LONG_LINE`` characters cut
-after sentences. A fingerprint has three rows of eight cells; each digest is in one cell of each row, and
-a cell has the number of its digests, their exclusive or, and that of their checks. Subtracting two
-fingerprints cell by cell cancels what the texts share. Peeling recovers the rest: a cell of count one whose
-check agrees holds one digest, which is taken out of its three cells, and so on until all are empty.
-
-Where that fails, there are too many differences for the table, and a larger one is tried: the digests are
-dealt by two more of their bits to four tables of the same size, of which only those that fail go on
-to the next size. Each larger round is one job over a table written to the shared folder; digests are 64-bit
-and distinct, so rounds end, and nothing is given up.
-
-Everything is SQL functions on arrays within a row. Texts are shuffled once, into slices of doc_id of
+A text is the set of XXH64 digests of its pieces. Lines over ``LONG_LINE`` characters are cut after sentences, and
+sentences over ``LONG_SENTENCE`` at words whose hash is the least among the ``RADIUS`` words on either side, so that
+cuts depend on the words around them alone and an unchanged half of a text keeps its pieces.
+
+A fingerprint has 2^k tables, one for at most ``TABLE_DIGESTS`` digests on average; a digest's first k bits choose its
+table. A table has three rows of eight cells; each digest is in one cell of each row, and a cell has the number of its
+digests, their exclusive or, and that of their checks. A fingerprint of k bits folds to one of fewer by adding cells,
+so two are compared at the smaller size, where tables add up to those built from the digests. Subtracting
+two tables cell by cell cancels what the texts share. Peeling recovers the rest: a cell of count one whose check
+agrees holds one digest, which is taken out of its three cells, and so on until all are empty.
+
+A table where that fails has too many differences, and is tried again as two or more of the same size, by the next
+bits of its digests. Each such round is one job over the failed tables of the round before, written to the
+shared folder; digests are 64-bit and distinct, so rounds end, and nothing is given up.
+
+Everything is SQL functions on arrays within a row. Texts are shuffled once, into slices of doc_id of about
 equal size where each finds the next document; the first document of each slice is entered at the end of
-the slice before it. ``SLICES`` grows with the rows up to its bound.
+the slice before it. The number of slices and their rows both grow with the root of the rows.
 
-Defined cases: a null text is empty; empty texts have no paragraphs and are alike (1.0); a paragraph
-that repeats counts once; a null doc_id comes first in order, repeated rows and ties follow by text; a
-single document is its own next; an empty table gives no rows; other columns are not read.
+Defined cases: a null text is empty; empty texts have no pieces and are alike (1.0); a piece that repeats counts
+once; a very long text has more tables, in time proportional to its digests and the logarithm of their number; a
+text without spaces or sentence ends is one piece for each line; a null doc_id comes first in order, repeated rows
+and ties follow by text; a single document is its own next; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flightlens.llm.common import documents, id_and_text, whole, written
 
-LONG_LINE = 400
+LONG_LINE = 120
+LONG_SENTENCE = 160
+RADIUS = 8
+TABLE_DIGESTS = 8
 ROUNDS = 16
-SLICES = 256
 SLICE_ROWS = 1000
-LAST_BIT = 24  # lower bits choose cells
+DEAL_BITS = 40  # upper bits deal digests to tables, lower ones choose cells
+
+# Where a sentence's words start a piece: words whose hash is the least around them.
+SENTENCE_PIECES = """transform(array(split(p, ' ', -1)), w -> transform(array(transform(w, x -> xxhash64(x))), h -> transform(
+  array(filter(sequence(1, size(w)), i -> i = 1 OR h[i - 1] = array_min(slice(h, greatest(1, i - {radius}), least(i, {radius} + 1) + {radius})))),
+  starts -> transform(starts, (at, k) -> array_join(slice(w, at, coalesce(get(starts, k + 1), size(w) + 1) - at), ' ')))[0])[0])[0]"""
 
-DIGESTS = r"""array_distinct(transform(
-  flatten(transform(split({text}, '\n', -1), l -> IF(length(l) > {long}, split(l, '(?<=[.!?])\\x20', -1), array(l)))),
-  p -> xxhash64(p)))"""
+DIGESTS = r"""array_distinct(transform(flatten(transform(
+  flatten(transform(split({text}, '\n', -1), l -> IF(length(l) > {line}, split(l, '(?<=[.!?])\\x20', -1), array(l)))),
+  p -> IF(length(p) > {sentence}, {pieces}, array(p)))), p -> xxhash64(p)))"""
 
 # In a cell: n digests, x their exclusive or, c that of their checks; s and r tell which digests it takes.
 CELLS = """flatten(transform(array(0, 8, 16), s -> transform(array(0, 1, 2, 3, 4, 5, 6, 7), r -> transform(
@@ -45,67 +59,86 @@ CELLS = """flatten(transform(array(0, 8, 16), s -> transform(array(0, 1, 2, 3, 4
 SUBTRACTED = "zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x, 'c', p.c ^ q.c, 's', p.s, 'r', p.r))"
 
 PEELED = """aggregate(sequence(1, {rounds}),
-  named_struct('cells', {cells}, 'found', CAST(array() AS array<struct<x: bigint, n: int>>)),
-  (s, round) -> transform(
+  named_struct('cells', {cells}, 'found', CAST(array() AS array<struct<x: bigint, n: int>>), 'going', true),
+  (s, round) -> IF(NOT s.going, s, transform(
     array(array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.x)), c -> named_struct('x', c.x, 'n', c.n)))),
-    pure -> IF(size(pure) = 0, s, named_struct(
+    pure -> IF(size(pure) = 0, named_struct('cells', s.cells, 'found', s.found, 'going', false), named_struct(
       'cells', transform(s.cells, c -> aggregate(
         filter(pure, p -> (shiftrightunsigned(p.x, c.s) & 7) = c.r), c,
         (c, p) -> named_struct('n', c.n - p.n, 'x', c.x ^ p.x, 'c', c.c ^ xxhash64(p.x), 's', c.s, 'r', c.r))),
-      'found', concat(s.found, pure))))[0],
+      'found', concat(s.found, pure), 'going', true)))[0]),
   s -> IF(forall(s.cells, c -> c.n = 0 AND c.x = 0L AND c.c = 0L), s.found, NULL))"""
 
+# Digests dealt to 2^bits lists, one bit at a time, by the bits after the first `used`.
+DEALT = """aggregate(IF({bits} = 0, CAST(array() AS array<int>), sequence(1, {bits})), array({digests}), (lists, i) -> flatten(transform(lists, l -> array(
+  filter(l, d -> (shiftrightunsigned(d, 64 - {used} - i) & 1) = 0), filter(l, d -> (shiftrightunsigned(d, 64 - {used} - i) & 1) = 1)))))"""
+
 
 def paragraph_digests(text: str) -> Column:
-    """Distinct digests of the paragraphs in the text column, in order; none for an empty text."""
-    some = F.expr(DIGESTS.format(text=f"`{text}`", long=LONG_LINE))
+    """Distinct digests of the pieces of the text column, in order; none for an empty text."""
+    pieces = SENTENCE_PIECES.format(radius=RADIUS)
+    some = F.expr(DIGESTS.format(text=f"`{text}`", line=LONG_LINE, sentence=LONG_SENTENCE, pieces=pieces))
     return F.when(F.length(text) > 0, some).otherwise(F.expr("CAST(array() AS array<bigint>)"))
 
 
+def table_bits(digests: Column) -> Column:
+    """k for a number of digests, the least for which 2^k tables have ``TABLE_DIGESTS`` each on average."""
+    return F.ceil(F.log2(F.greatest(digests / TABLE_DIGESTS, F.lit(1.0)))).cast("int")
+
+
 def cells(digests: str) -> Column:
-    """The table of a column of digests: array of 24 struct<n, x, c, s, r>."""
-    return F.expr(CELLS.format(digests=f"`{digests}`"))
+    """The fingerprint of a column of digests: array of 24 struct<n, x, c, s, r> for each of its tables."""
+    bits = f"CAST(ceil(log2(greatest(size(`{digests}`) / {TABLE_DIGESTS}, 1.0))) AS int)"
+    lists = DEALT.format(bits=bits, digests=f"`{digests}`", used=0)
+    return F.expr(f"flatten(transform({lists}, mine -> {CELLS.format(digests='mine')}))")
 
 
 def serialized(table: str) -> Column:
-    """A fingerprint as text: count, digests and checks of each cell in hexadecimal."""
-    return F.expr(f"array_join(transform(`{table}`, c -> concat_ws('.', c.n, lower(hex(c.x)), lower(hex(c.c)))), ' ')")
+    """A fingerprint as text: count, digests and checks of each cell in hexadecimal, nothing for an empty cell."""
+    return F.expr(
+        f"array_join(transform(`{table}`, c -> IF(c.n = 0, '', concat_ws('.', c.n, lower(hex(c.x)), lower(hex(c.c))))), ' ')"
+    )
 
 
 def recovered(a: str, b: str) -> Column:
-    """Digests that two columns of tables do not share: array of (x, n), n 1 where only a has x; null if too many."""
-    return F.expr(PEELED.format(rounds=ROUNDS, cells=SUBTRACTED.format(a=f"`{a}`", b=f"`{b}`")))
+    """For two columns of lists of digests, dealt alike: for each table, array of (x, n), n 1 where only a has x; null if too many."""
+    apart = SUBTRACTED.format(a=CELLS.format(digests="mine"), b=CELLS.format(digests="theirs"))
+    return F.expr(f"zip_with({a}, {b}, (mine, theirs) -> {PEELED.format(rounds=ROUNDS, cells=apart)})")
 
 
-def _dealt(failed: DataFrame, bit: int) -> DataFrame:
-    """Each failed pair as four, by two bits of the digests."""
-    if bit < LAST_BIT:
-        raise ValueError("two digests agree in all bits that deal them to tables, which cannot happen for distinct ones in practice")
-    part = f"filter({{}}, d -> (shiftrightunsigned(d, {bit}) & 3) = part)"
-    parts = failed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    return parts.select("uid", "kind", F.expr(part.format("a")).alias("a"), F.expr(part.format("b")).alias("b"))
+def _peel(todo: DataFrame, bits: Column, found: str) -> DataFrame:
+    """Each row's tables, by ``bits`` more bits of the digests: what is found as ``found``, and the digests of the tables that failed."""
+    deal = todo.withColumn("bits", F.least(bits, F.lit(DEAL_BITS) - F.col("used")))
+    dealt = deal.withColumns({f"{name}_lists": F.expr(DEALT.format(bits="bits", digests=name, used="used")) for name in ("a", "b")})
+    tried = dealt.withColumn("tables", recovered("a_lists", "b_lists"))
+    return written(tried.select(
+        "uid", "kind", F.expr(f"{found}(flatten(filter(tables, t -> t IS NOT NULL)))").alias("found"), (F.col("used") + F.col("bits")).alias("used"),
+        F.expr("filter(zip_with(zip_with(a_lists, b_lists, (a, b) -> named_struct('a', a, 'b', b)), tables, (p, t) -> IF(t IS NULL, p, NULL)), "
+               "p -> p IS NOT NULL)").alias("failed"),
+    ), "peeled")
 
 
-def differences(pairs: DataFrame, *, failed: bool = False) -> DataFrame:
-    """(uid, kind, found): recovered digests by row of ``pairs`` (uid, kind, a, b), over several rows.
+def differences(pairs: DataFrame, found: str = "") -> DataFrame:
+    """(uid, kind, found): recovered digests by row of ``pairs`` (uid, kind, a, b), over one or more rows.
 
-    ``a`` and ``b`` are arrays of digests, stored columns; found is as from ``recovered``. With
-    ``failed``, the pairs have failed in a table of the first size and start with the next.
+    ``a`` and ``b`` are arrays of digests, stored columns; found is an array of (x, n) with n 1 where only a has
+    x, else -1, or what the SQL function named by ``found`` makes of it. The first round has as many tables as
+    the smaller of the two fingerprints, the others as many as should hold the digests of a table that failed.
     """
-    todo, done, bit = pairs, None, 62
-    if failed:
-        todo, bit = written(_dealt(pairs, bit), "larger"), bit - 2
+    sizes = F.least(table_bits(F.size("a")), table_bits(F.size("b")))
+    rounds = [_peel(pairs.withColumn("used", F.lit(0)), sizes, found)]
     while True:
-        tables = todo.withColumns({"in_a": cells("a"), "in_b": cells("b")}).withColumn("found", recovered("in_a", "in_b"))
-        rest = [F.when(F.col("found").isNull(), F.col(name)).alias(name) for name in ("a", "b")]
-        tried = written(tables.select("uid", "kind", "found", *rest), "peeled")
-        solved = tried.where("found IS NOT NULL").select("uid", "kind", "found")
-        done = solved if done is None else done.unionByName(solved)
-        left = tried.where("found IS NULL")
-        if left.isEmpty():
-            return done
-        todo = written(_dealt(left, bit), "larger")
-        bit -= 2
+        left = rounds[-1].select("uid", "kind", "used", F.explode("failed").alias("t")).select("uid", "kind", "used", "t.a", "t.b")
+        most = left.agg(F.max("used")).first()[0]
+        if most is None:
+            break
+        if most >= DEAL_BITS:
+            raise ValueError("two digests agree in all bits that deal them to tables, which cannot happen for distinct ones in practice")
+        rounds.append(_peel(left, table_bits(F.size("a") + F.size("b")) + 1, found))
+    out = [tried.select("uid", "kind", "found") for tried in rounds]
+    for more in out[1:]:
+        out[0] = out[0].unionByName(more)
+    return out[0]
 
 
 def near(apart: Column, total: Column) -> Column:
@@ -115,19 +148,28 @@ def near(apart: Column, total: Column) -> Column:
 
 def likeness(pairs: DataFrame) -> DataFrame:
     """(uid, kind, near) for ``pairs`` as ``differences`` takes them."""
-    found = differences(pairs).groupBy("uid", "kind").agg(F.sum(F.size("found")).alias("apart"))
+    found = differences(pairs, "size").groupBy("uid", "kind").agg(F.sum("found").alias("apart"))
     sizes = pairs.select("uid", "kind", (F.size("a") + F.size("b")).alias("total"))
     return found.join(sizes, ["uid", "kind"]).select("uid", "kind", near(F.col("apart"), F.col("total")).alias("near"))
 
 
-def with_next(docs: DataFrame, slices: int = SLICES, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """(doc_id, text, next_text): each document with the text of the next by doc_id, the last with the first's."""
+def with_next(docs: DataFrame, slices: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(doc_id, text, next_text): each document with the text of the next by doc_id, the last with the first's.
+
+    ``slices``, by default half the root of the rows, is less where a slice would have under ``slice_rows`` rows.
+    """
     texts = docs.select("doc_id", whole().alias("text"))
     ids = docs.select("doc_id")
-    n = max(1, min(slices, ids.count() // slice_rows))
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
+    rows = ids.count()
+    n = max(1, min(slices or isqrt(rows) // 2, rows // slice_rows))
+    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], max(10_000, 10 * n))).first()[0] or []
     cuts = sorted(set(cuts)) if n > 1 else []
-    where = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda cut: cut < F.col("doc_id")))
+    # How many cuts are below an id, by halving steps.
+    steps = ", ".join(str(1 << bit) for bit in reversed(range(max(1, len(cuts).bit_length()))))
+    listed = f"CAST(split('{','.join(map(str, cuts))}', ',') AS array<bigint>)" if cuts else "CAST(array() AS array<bigint>)"
+    where = F.expr(
+        f"aggregate(array({steps}), 0, (at, step) -> IF(at + step <= {len(cuts)} AND get({listed}, at + step - 1) < doc_id, at + step, at))"
+    )
     spread = texts.withColumn("slice", where)
     heads = ids.withColumn("slice", where).groupBy("slice").agg(F.min("doc_id").alias("head"), F.max(F.isnull("doc_id")).alias("unknown")).collect()
     heads.sort(key=lambda row: row["slice"])  # one row per slice
@@ -149,28 +191,17 @@ def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         paragraph_digests("text").alias("own"), paragraph_digests("edited_text").alias("edited"), paragraph_digests("next_text").alias("next"),
     ), "digests")
-    # Both comparisons of a row share its own table; the few that fail go on to larger ones.
     kinds = ("edited", "next")
-    tables = read.withColumns({f"{name}_cells": cells(name) for name in ("own", *kinds)})
-    first = tables.withColumns({f"found_{kind}": recovered("own_cells", f"{kind}_cells") for kind in kinds})
-    compared = written(first.select(
-        "uid", *((F.size("own") + F.size(kind)).alias(f"total_{kind}") for kind in kinds),
-        *(F.when(F.col(f"found_{kind}").isNotNull(), F.size(f"found_{kind}")).cast("long").alias(f"apart_{kind}") for kind in kinds),
-    ), "compared")
-    failed = compared.select("uid", F.explode(F.array(*(
-        F.when(F.col(f"apart_{kind}").isNull(), F.lit(kind)) for kind in kinds
-    ))).alias("kind")).where("kind IS NOT NULL")
-    other = F.when(F.col("kind") == "edited", F.col("edited")).otherwise(F.col("next"))
-    pairs = read.join(failed, "uid").select("uid", "kind", F.col("own").alias("a"), other.alias("b"))
-    apart = differences(pairs, failed=True).groupBy("uid").agg(
-        *(F.sum(F.when(F.col("kind") == kind, F.size("found"))).alias(f"more_{kind}") for kind in kinds),
-    )
-    likely = compared.join(apart, "uid", "left").select(
-        "uid", *(near(F.coalesce(f"apart_{kind}", f"more_{kind}"), F.col(f"total_{kind}")).alias(f"near_{kind}") for kind in kinds),
+    both = F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("b")) for kind in kinds)))
+    compared = read.select("uid", F.col("own").alias("a"), both.alias("other")).select("uid", "other.kind", "a", "other.b")
+    apart = differences(compared, "size").groupBy("uid").agg(
+        *(F.sum(F.when(F.col("kind") == kind, F.col("found"))).alias(f"apart_{kind}") for kind in kinds),
     )
     # Fingerprints are written out at the end: their digests are shorter to shuffle.
-    rows = read.drop("next").join(likely, "uid").withColumns({f"{name}_cells": cells(name) for name in ("own", "edited")})
+    totals = {f"total_{kind}": F.size("own") + F.size(kind) for kind in kinds}
+    rows = read.withColumns(totals).drop("next").join(apart, "uid").withColumns({f"{name}_cells": cells(name) for name in ("own", "edited")})
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", serialized("own_cells").alias("fingerprint"),
-        serialized("edited_cells").alias("edited_fingerprint"), *(f"near_{kind}" for kind in kinds),
+        serialized("edited_cells").alias("edited_fingerprint"),
+        *(near(F.col(f"apart_{kind}"), F.col(f"total_{kind}")).alias(f"near_{kind}") for kind in kinds),
     )

@@ -1,10 +1,12 @@
 """Exact dedup, mixing, secret scans and paragraph fingerprints against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from flightlens.llm import exact_dedup as exact, fingerprints as prints, mixing, secret_scan as scan
@@ -186,14 +188,26 @@ def test_secrets_of_nothing(spark, make_docs):
 
 # paragraph fingerprints
 
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def pieces_of_sentence(text):
+    words = text.split(" ")
+    signed = [signed_hash(word) for word in words]
+    starts = [i for i, h in enumerate(signed) if i == 0 or h == min(signed[max(0, i - prints.RADIUS):i + prints.RADIUS + 1])]
+    return [" ".join(words[i:j]) for i, j in zip(starts, starts[1:] + [len(words)])]
+
+
 def paragraphs(text):
-    lines = [p for line in text.split("\n") for p in (re.split(r"(?<=[.!?])\x20", line) if len(line) > prints.LONG_LINE else [line])]
-    return set(lines) if text else set()
+    sentences = [p for line in text.split("\n") for p in (re.split(r"(?<=[.!?])\x20", line) if len(line) > prints.LONG_LINE else [line])]
+    return {piece for p in sentences for piece in (pieces_of_sentence(p) if len(p) > prints.LONG_SENTENCE else [p])} if text else set()
 
 
 def test_recovered_differences(spark):
     texts = [("", ""), ("a\nb\nc", "a\nb\nc"), ("a\nb\nc", "a\nx\nc\nd"), ("\n".join(map(str, range(700))), "\n".join(map(str, range(350, 900)))),
-             ("same " * 10, ""), ("\n".join(f"l{i}" for i in range(60)), "\n".join(f"m{i}" for i in range(61)))]
+             ("same " * 10, ""), ("same " * 99 + "end", "same " * 60), (" ".join(map(str, range(500))), " ".join(map(str, range(250, 700)))), ("\n".join(f"l{i}" for i in range(60)), "\n".join(f"m{i}" for i in range(61)))]
     df = spark.createDataFrame([(i, "k", a, b) for i, (a, b) in enumerate(texts)], "uid BIGINT, kind STRING, ta STRING, tb STRING")
     pairs = df.select("uid", "kind", prints.paragraph_digests("ta").alias("a"), prints.paragraph_digests("tb").alias("b"))
     sides = {r["uid"]: (set(r["a"]), set(r["b"])) for r in pairs.collect()}
@@ -203,6 +217,7 @@ def test_recovered_differences(spark):
             found[r["uid"]][x["n"] < 0].add(x["x"])
     for uid, (a, b) in sides.items():
         assert found[uid] == (a - b, b - a)
+    assert all(sides[uid][0] == {signed_hash(p) for p in paragraphs(a)} for uid, (a, _) in enumerate(texts))
     near = {r["uid"]: r["near"] for r in prints.likeness(pairs).collect()}
     for i, (a, b) in enumerate(texts):
         a, b = paragraphs(a), paragraphs(b)
@@ -216,6 +231,21 @@ def test_next_documents(spark, make_docs, odd_rows):
     wanted = Counter(((i if known else None), t, order[(k + 1) % len(order)][2]) for k, (known, i, t) in enumerate(order))
     assert Counter((r["doc_id"], r["text"], r["next_text"]) for r in got) == wanted
     assert prints.with_next(id_and_text(make_docs([]))).count() == 0
+    many = prints.with_next(spark.range(3_000).selectExpr("id AS doc_id", "CAST(id AS string) AS text"), slices=700, slice_rows=1)
+    assert {r["doc_id"]: r["next_text"] for r in many.collect()} == {i: str((i + 1) % 3_000) for i in range(3_000)}
+
+
+def test_fingerprint_of_a_very_long_text_and_halves_that_stay(spark):
+    long = "\n".join(f"line {i}" for i in range(40_000))
+    rng = random.Random(3)
+    one = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(80))  # one line without a sentence end
+    texts = [(long, long[:len(long) // 2] + "x"), (one, one[:240] + one[:200]), ("Der " * 300, "Der " * 150 + "one other end")]
+    df = spark.createDataFrame([(i, "k", a, b) for i, (a, b) in enumerate(texts)], "uid BIGINT, kind STRING, ta STRING, tb STRING")
+    pairs = df.select("uid", "kind", prints.paragraph_digests("ta").alias("a"), prints.paragraph_digests("tb").alias("b"))
+    near = {r["uid"]: r["near"] for r in prints.likeness(pairs).collect()}
+    for i, (a, b) in enumerate(texts):
+        a, b = paragraphs(a), paragraphs(b)
+        assert near[i] == pytest.approx(1 - len(a ^ b) / (len(a) + len(b))) and near[i] > 0.3
 
 
 @pytest.mark.parametrize("name", ["op8_paragraph_fingerprints"])
