@@ -12,7 +12,7 @@ two tables cell by cell cancels what the texts share. Peeling recovers the rest:
 agrees holds one digest, which is taken out of its three cells, and so on until all are empty.
 
 A table where that fails has too many differences, and is tried again as two or more of the same size, by the next
-bits of its digests. Each such round is one job over the failed tables of the round before, written to the
+bits of its digests, with other bits for the cells. Each such round is one job over the failed tables of the round before, written to the
 shared folder; digests are 64-bit and distinct, so rounds end, and nothing is given up.
 
 Everything is SQL functions on arrays within a row. Texts are shuffled once, into slices of doc_id of about
@@ -40,10 +40,12 @@ TABLE_DIGESTS = 8
 ROUNDS = 16
 SLICE_ROWS = 1000
 DEAL_BITS = 40  # upper bits deal digests to tables, lower ones choose cells
+LOW_BITS = (0, 3)  # rounds take turns, so that digests that share all cells in one do not in the next
 
-# Where a sentence's words start a piece: words whose hash is the least around them.
+# Where a sentence's words start a piece: words whose hash is the least around them; most fall to their neighbours.
 SENTENCE_PIECES = """transform(array(split(p, ' ', -1)), w -> transform(array(transform(w, x -> xxhash64(x))), h -> transform(
-  array(filter(sequence(1, size(w)), i -> i = 1 OR h[i - 1] = array_min(slice(h, greatest(1, i - {radius}), least(i, {radius} + 1) + {radius})))),
+  array(filter(sequence(1, size(w)), i -> i = 1 OR (h[i - 1] <= least(get(h, i - 3), get(h, i - 2), get(h, i), get(h, i + 1))
+    AND h[i - 1] = array_min(slice(h, greatest(1, i - {radius}), least(i, {radius} + 1) + {radius}))))),
   starts -> transform(starts, (at, k) -> array_join(slice(w, at, coalesce(get(starts, k + 1), size(w) + 1) - at), ' ')))[0])[0])[0]"""
 
 DIGESTS = r"""array_distinct(transform(flatten(transform(
@@ -51,7 +53,7 @@ DIGESTS = r"""array_distinct(transform(flatten(transform(
   p -> IF(length(p) > {sentence}, {pieces}, array(p)))), p -> xxhash64(p)))"""
 
 # In a cell: n digests, x their exclusive or, c that of their checks; s and r tell which digests it takes.
-CELLS = """flatten(transform(array(0, 8, 16), s -> transform(array(0, 1, 2, 3, 4, 5, 6, 7), r -> transform(
+CELLS = """flatten(transform(array({low}, {low} + 8, {low} + 16), s -> transform(array(0, 1, 2, 3, 4, 5, 6, 7), r -> transform(
   array(filter({digests}, d -> (shiftrightunsigned(d, s) & 7) = r)),
   own -> named_struct('n', size(own), 'x', aggregate(own, 0L, (a, d) -> a ^ d),
                       'c', aggregate(own, 0L, (a, d) -> a ^ xxhash64(d)), 's', s, 'r', r))[0])))"""
@@ -90,7 +92,7 @@ def cells(digests: str) -> Column:
     """The fingerprint of a column of digests: array of 24 struct<n, x, c, s, r> for each of its tables."""
     bits = f"CAST(ceil(log2(greatest(size(`{digests}`) / {TABLE_DIGESTS}, 1.0))) AS int)"
     lists = DEALT.format(bits=bits, digests=f"`{digests}`", used=0)
-    return F.expr(f"flatten(transform({lists}, mine -> {CELLS.format(digests='mine')}))")
+    return F.expr(f"flatten(transform({lists}, mine -> {CELLS.format(digests='mine', low=0)}))")
 
 
 def serialized(table: str) -> Column:
@@ -100,17 +102,20 @@ def serialized(table: str) -> Column:
     )
 
 
-def recovered(a: str, b: str) -> Column:
-    """For two columns of lists of digests, dealt alike: for each table, array of (x, n), n 1 where only a has x; null if too many."""
-    apart = SUBTRACTED.format(a=CELLS.format(digests="mine"), b=CELLS.format(digests="theirs"))
+def recovered(a: str, b: str, low: int = 0) -> Column:
+    """For two columns of lists of digests, dealt alike: for each table, array of (x, n), n 1 where only a has x; null if too many.
+
+    ``low`` is the first of the bits that choose cells, 0 in a fingerprint.
+    """
+    apart = SUBTRACTED.format(a=CELLS.format(digests="mine", low=low), b=CELLS.format(digests="theirs", low=low))
     return F.expr(f"zip_with({a}, {b}, (mine, theirs) -> {PEELED.format(rounds=ROUNDS, cells=apart)})")
 
 
-def _peel(todo: DataFrame, bits: Column, found: str) -> DataFrame:
+def _peel(todo: DataFrame, bits: Column, found: str, low: int = 0) -> DataFrame:
     """Each row's tables, by ``bits`` more bits of the digests: what is found as ``found``, and the digests of the tables that failed."""
     deal = todo.withColumn("bits", F.least(bits, F.lit(DEAL_BITS) - F.col("used")))
     dealt = deal.withColumns({f"{name}_lists": F.expr(DEALT.format(bits="bits", digests=name, used="used")) for name in ("a", "b")})
-    tried = dealt.withColumn("tables", recovered("a_lists", "b_lists"))
+    tried = dealt.withColumn("tables", recovered("a_lists", "b_lists", low))
     return written(tried.select(
         "uid", "kind", F.expr(f"{found}(flatten(filter(tables, t -> t IS NOT NULL)))").alias("found"), (F.col("used") + F.col("bits")).alias("used"),
         F.expr("filter(zip_with(zip_with(a_lists, b_lists, (a, b) -> named_struct('a', a, 'b', b)), tables, (p, t) -> IF(t IS NULL, p, NULL)), "
@@ -134,7 +139,7 @@ def differences(pairs: DataFrame, found: str = "") -> DataFrame:
             break
         if most >= DEAL_BITS:
             raise ValueError("two digests agree in all bits that deal them to tables, which cannot happen for distinct ones in practice")
-        rounds.append(_peel(left, table_bits(F.size("a") + F.size("b")) + 1, found))
+        rounds.append(_peel(left, F.greatest(F.lit(1), table_bits(F.size("a") + F.size("b"))), found, low=LOW_BITS[len(rounds) % 2]))
     out = [tried.select("uid", "kind", "found") for tried in rounds]
     for more in out[1:]:
         out[0] = out[0].unionByName(more)
