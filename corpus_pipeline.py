@@ -6,8 +6,8 @@ documents. No stage reads a column it does not name, so other columns pass throu
 1. Language ID learns from the rows with a language outside fold 2 and drops texts it can give none: null
    and without a letter.
 2. Exact dedup keeps, of texts equal but for the case of A-Z, the row with the largest doc_id.
-3. Near-dedup finds pairs by MinHash bands of five-word shingles, which reach down to a similarity
-   of 0.8 (three bits of a SimHash end at about 0.98), and drops rows whose shingles are similar by 0.8 or
+3. Near-dedup finds pairs by SimHashes of five-word shingles that differ in three bits or fewer, and, as
+   these end at a similarity of about 0.98, by MinHash bands down to 0.8; it drops rows whose shingles are similar by 0.8 or
    more to a row that stays. Which row of a group stays depends on a hash of its id and text; no two rows that
    stay are similar.
 4. Mixing repeats or leaves out rows by the target weights of their sources, in training order. Of the copy

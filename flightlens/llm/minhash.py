@@ -1,4 +1,8 @@
-"""Near duplicates down to a Jaccard similarity of 0.8: MinHash bands for candidates, texts for the decision.
+"""Near duplicates down to a Jaccard similarity of 0.8: SimHash links and MinHash bands for candidates, texts for the decision.
+
+Rows are candidates where their SimHashes of the same shingles differ in three bits or fewer, as ``simhash.links`` finds:
+the two ends of a link share a key, and so do all that are linked to one fingerprint and rows of equal ones. Three bits
+end at a similarity of about 0.98; bands reach the rest.
 
 A text has ``BANDS * ROWS`` minima of its shingles' hashes, each under another permutation. Two texts of
 similarity s agree in all minima of a band with chance s ** ROWS, so they meet under the key of some band
@@ -38,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from flightlens.llm.common import id_and_text, whole, written
-from flightlens.llm.simhash import WORDS, shingle_hashes
+from flightlens.llm.simhash import WORDS, links, majority, ones, shingle_hashes
 
 BANDS = 40
 ROWS = 8
@@ -51,36 +55,41 @@ _ODD = (_RANDOM.integers(0, 1 << 31, BANDS * ROWS).astype(np.uint32) * np.uint32
 _FLIP = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
 
 
-def minima(text: str | None, words: int) -> tuple[np.ndarray, bytes | None]:
-    """The least hash of the text's shingles under each permutation, the largest number where it has none; and
-    the hashes of up to ``SHORT`` shingles themselves."""
+def minima(text: str | None, words: int) -> tuple[np.ndarray, bytes | None, int]:
+    """The least hash of the text's shingles under each permutation, the largest number where it has none;
+    the hashes of up to ``SHORT`` shingles themselves; and the SimHash."""
     least = np.full(len(_ODD), np.iinfo(np.uint32).max)
     short: np.ndarray | None = np.empty(0, np.uint32)
+    count, total = np.zeros(64, np.int64), 0
     for hashes in shingle_hashes(text, words):
+        count += ones(hashes)
+        total += len(hashes)
         upper = (hashes >> np.uint64(32)).astype(np.uint32)
         short = None if short is None or len(upper) > 8 * SHORT else np.unique(np.concatenate([short, upper]))
         short = None if short is None or len(short) > SHORT else short
         for at in range(0, len(upper), HASHED):
             mixed = (upper[at:at + HASHED] ^ _FLIP[:, None]) * _ODD[:, None]
             np.minimum(least, (mixed ^ mixed >> np.uint32(15)).min(axis=1), out=least)
-    return least, None if short is None else short.tobytes()
+    return least, None if short is None else short.tobytes(), majority(count, total)
 
 
 def sketches(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tie, node, keys, sketch, short), written: the keys of the bands, a byte of every minimum, short texts' hashes."""
-    @F.pandas_udf("keys array<bigint>, sketch binary, short binary")
+    """(doc_id, tie, node, keys, sketch, short, fp), written: the keys of the bands, a byte of every minimum, short texts'
+    hashes, the SimHash."""
+    @F.pandas_udf("keys array<bigint>, sketch binary, short binary, fp bigint")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        keys, bytes_, shorts = [], [], []
+        keys, bytes_, shorts, fps = [], [], [], []
         for text in texts:
-            least, short = minima(text if isinstance(text, str) else None, words)
+            least, short, fp = minima(text if isinstance(text, str) else None, words)
             shorts.append(short)
+            fps.append(fp)
             bands = least.reshape(BANDS, ROWS)
             keys.append(np.array([xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(bands)], np.uint64).view(np.int64))
             bytes_.append((least * _ODD[0] >> np.uint32(24)).astype(np.uint8).tobytes())
-        return pd.DataFrame({"keys": keys, "sketch": bytes_, "short": shorts})
+        return pd.DataFrame({"keys": keys, "sketch": bytes_, "short": shorts, "fp": pd.Series(fps, dtype="int64")})
 
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64(whole()).alias("tie"), sketch("text").alias("s"))
-    return written(rows.select("doc_id", "tie", F.xxhash64("doc_id", "tie").alias("node"), "s.keys", "s.sketch", "s.short"), "sketches")
+    return written(rows.select("doc_id", "tie", F.xxhash64("doc_id", "tie").alias("node"), "s.keys", "s.sketch", "s.short", "s.fp"), "sketches")
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,9 +194,22 @@ def _new(rows: pd.DataFrame) -> np.ndarray:
     return new
 
 
+def simhash_keys(sketched: DataFrame) -> DataFrame:
+    """(key, node): a key for each SimHash that some row has, of its rows and of those linked to it.
+
+    Keys follow links, not components, so rows under a key are all near its fingerprint, however long links chain on.
+    """
+    fps = written(sketched.groupBy("fp").agg(F.count("*").alias("rows")), "fps")
+    linked = written(links(fps.select("fp")), "linked")
+    ends = linked.select(F.inline(F.array(*(F.struct(F.col(x).alias("centre"), F.col(y).alias("fp")) for x in "ab" for y in "ab"))))
+    ends = ends.unionByName(fps.where("rows > 1").select(F.col("fp").alias("centre"), "fp")).distinct()
+    return sketched.select("fp", "node").join(ends, "fp").select(F.xxhash64(F.lit("simhash"), "centre").alias("key"), "node")
+
+
 def shared_keys(sketched: DataFrame) -> DataFrame:
-    """(key, node), written: keys that more than one row has."""
-    entries = sketched.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
+    """(key, node), written: keys of SimHash links and of bands that more than one row has."""
+    entries = sketched.select(F.explode("keys").alias("key"), "node").unionByName(simhash_keys(sketched))
+    entries = entries.repartition("key").sortWithinPartitions("key", "node")
     return written(entries.withColumn("out", F.lit(False)).mapInPandas(_shared, "key BIGINT, node BIGINT"), "shared")
 
 
@@ -247,7 +269,7 @@ def similar_to_kept(
     texts = id_and_text(docs, id_col, text_col).select(F.xxhash64("doc_id", F.xxhash64(whole())).alias("node"), whole().alias("text"))
     texts = written(texts.join(left.select("node"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     a_text, b_text = (texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text")) for name in "ab")
-    kept = dropped = links = None
+    kept = dropped = waits_for = None
     tries, size, before = 1, block, None
     while not left.isEmpty():
         active = left.where("NOT waits")
@@ -259,19 +281,19 @@ def similar_to_kept(
         compared = found.join(a_text, "a").join(b_text, "b").sortWithinPartitions("b").select("a", "b", similarity(words)("a_text", "b_text").alias("s"))
         compared = written(compared, "compared")
         alike = compared.where(F.col("s") >= similar).select("a", "b")
-        links = alike if links is None else links.unionByName(alike)
+        waits_for = alike if waits_for is None else waits_for.unionByName(alike)
         if not cut:
             leads = written(active.join(found.select(F.col("a").alias("node")).distinct(), "node", "left_anti").select("node", "sketch", "short"), "leads")
             kept = leads if kept is None else kept.unionByName(leads)
         decided = None if kept is None else kept.select("node")
         if kept is not None:
-            gone = written(links.join(kept.select(F.col("node").alias("b")), "b", "left_semi").select(F.col("a").alias("node")).distinct(), "gone")
+            gone = written(waits_for.join(kept.select(F.col("node").alias("b")), "b", "left_semi").select(F.col("a").alias("node")).distinct(), "gone")
             dropped = gone if dropped is None else dropped.unionByName(gone)
             decided = decided.unionByName(dropped)
-            links = links.join(dropped.select(F.col("node").alias("a")), "a", "left_anti").join(dropped.select(F.col("node").alias("b")), "b", "left_anti")
-        links = written(links, "links")
+            waits_for = waits_for.join(dropped.select(F.col("node").alias("a")), "a", "left_anti").join(dropped.select(F.col("node").alias("b")), "b", "left_anti")
+        waits_for = written(waits_for, "links")
         unlike = compared.where(F.col("s") < similar).groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("more"))
-        waiting = links.select(F.col("a").alias("node"), F.lit(True).alias("waiting")).distinct()
+        waiting = waits_for.select(F.col("a").alias("node"), F.lit(True).alias("waiting")).distinct()
         rest = left if decided is None else left.join(decided, "node", "left_anti")
         more = F.coalesce("more", F.array().cast("array<bigint>"))
         left = written(rest.join(unlike, "node", "left").join(waiting, "node", "left").select(

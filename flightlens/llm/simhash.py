@@ -55,14 +55,24 @@ def shingle_hashes(text: str | None, words: int = WORDS) -> Iterator[np.ndarray]
         yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + SHINGLES], some)], np.uint64)
 
 
+def ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, total: int) -> int:
+    """The fingerprint as a signed 64-bit integer: the bits that over half of the hashes have."""
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
+
+
 def simhash(text: str | None, words: int = WORDS) -> int:
     """The fingerprint as a signed 64-bit integer."""
-    ones, total = np.zeros(64, np.int64), 0
+    count, total = np.zeros(64, np.int64), 0
     for hashes in shingle_hashes(text, words):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        count += ones(hashes)
         total += len(hashes)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
+    return majority(count, total)
 
 
 def fingerprints(

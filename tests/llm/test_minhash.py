@@ -6,7 +6,7 @@ import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from flightlens.llm import minhash
+from flightlens.llm import minhash, simhash
 from test_pipeline import SF, similar
 
 
@@ -97,3 +97,19 @@ def test_repeated_rows_and_ids(spark, make_docs):
     texts = [r["text"] for r in out]
     assert texts.count("quite another text") == 1 and sum(not t for t in texts) == 1
     assert (texts.count(text), texts.count(text + " end")) in ((2, 0), (0, 1))
+
+
+def test_simhash_links_make_candidates(spark):
+    """Rows whose SimHashes are three bits apart, equal or linked to a third one meet, whatever their bands say."""
+    fps = [0, 0b111, 0b111 << 20, -1, -1, 0b1111 << 40]
+    rows = [(i, [100 + i], fp) for i, fp in enumerate(fps)]
+    keys = minhash.shared_keys(spark.createDataFrame(rows, "node BIGINT, keys ARRAY<BIGINT>, fp BIGINT")).collect()
+    met = {frozenset((a["node"], b["node"])) for a in keys for b in keys if a["key"] == b["key"] and a["node"] != b["node"]}
+    assert met == {frozenset(pair) for pair in ((0, 1), (0, 2), (1, 2), (3, 4))}
+
+
+def test_sketches_carry_the_simhash_of_the_stage(make_docs):
+    texts = {1: "one two three four five six seven", 2: "", 3: None, 4: "one two"}
+    docs = make_docs([(i, text, "en", "x") for i, text in texts.items()])
+    got = {r["doc_id"]: r["fp"] for r in minhash.sketches(docs, 5).select("doc_id", "fp").collect()}
+    assert got == {i: simhash.simhash(text, 5) for i, text in texts.items()}
