@@ -42,7 +42,7 @@ BUCKET_BYTES = 8 << 20
 RANGES = 1 << 16  # at most, of leading words
 SAMPLE_DOCS = 2000  # documents, about, from which splitters are drawn: more where there are over 8,000 ranges
 SAMPLE_SUFFIXES = 64  # at most, of each of them
-CHUNK = 4 << 20  # bytes of text worked on at a time
+CHUNK = 1 << 20  # bytes of text worked on at a time; working them takes about fifty times as many
 HELD = 48 << 20  # bytes of text a task holds back the records of
 BEFORE_ALL = -(1 << 63)
 
@@ -117,21 +117,21 @@ def _chunks(texts: list[bytes], chunk: int) -> Iterator[tuple[int, np.ndarray, n
             size += len(texts[stop])
             stop += 1
         lengths = [len(text) for text in texts[start:stop]]
-        owner = np.repeat(np.arange(start, stop, dtype=np.int64), lengths)
+        owner = np.repeat(np.arange(start, stop, dtype=np.int32), lengths)
         yield start, np.frombuffer(b"".join(texts[start:stop]), np.uint8), owner, np.cumsum([0, *lengths])
         start = stop
 
 
 def _suffixes(texts: list[bytes], chunk: int) -> dict[str, np.ndarray]:
     """All stretches of some texts: number of the text, place of the anchor, leading word, hashes."""
-    out = [{"text": np.empty(0, np.int64), "at": np.empty(0, np.int64), "lead": np.empty(0, np.uint64), "gram": np.empty(0, np.uint32), "whole": np.empty(0, np.uint64)}]
+    out = [{"text": np.empty(0, np.uint32), "at": np.empty(0, np.uint32), "lead": np.empty(0, np.uint64), "gram": np.empty(0, np.uint32), "whole": np.empty(0, np.uint64)}]
     for first, data, owner, starts in _chunks(texts, chunk):
         hashes = Hashes(data)
         found = stretches(hashes, owner)
         if len(found.anchor):
             text = owner[found.anchor]
             out.append({
-                "text": text, "at": found.anchor - starts[text - first], "lead": _leading(data, found.anchor),
+                "text": text.astype(np.uint32), "at": (found.anchor - starts[text - first]).astype(np.uint32), "lead": _leading(data, found.anchor),
                 "gram": hashes.of(found.anchor, found.anchor + GRAM).astype(np.uint32), "whole": hashes.of(found.first, found.last + LENGTH),
             })
     return {name: np.concatenate([part[name] for part in out]) for name in out[0]}
@@ -139,15 +139,21 @@ def _suffixes(texts: list[bytes], chunk: int) -> dict[str, np.ndarray]:
 
 def _scan(splitters: Splitters, chunk: int, held: int):
     """Step 1: blobs of stretches by bucket. Those equal to an earlier one of the task go as repeated."""
-    def flush(rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        rows = sorted({row[:2]: row for row in rows}.values())  # numbers of texts are in order of documents
-        found = _suffixes([row[3] for row in rows], chunk)
+    def flush(rows: list[tuple], parts: list[dict]) -> Iterator[pd.DataFrame]:
+        doc, tie, slice_ = (np.array([row[i] for row in rows], np.int64) for i in range(3))
+        found = {name: np.concatenate([part.pop(name) for part in parts]) for name in ("text", "at", "lead", "gram", "whole")}
+        place = np.empty(len(rows), np.uint32)
+        place[np.lexsort((tie, doc))] = np.arange(len(rows))
+        order = np.argsort(place[found["text"]], kind="stable")
+        for name in found:
+            found[name] = found[name][order]
         order, run = multikey_order(found["lead"], found["gram"], found["whole"])  # stable: earlier documents first
-        found = {name: column[order] for name, column in found.items()}
+        for name in found:
+            found[name] = found[name][order]
+        del order
         again = np.zeros(len(run), bool)
         again[1:] = run[1:] == run[:-1]
         bucket, several = splitters.of(found["lead"], found["whole"])
-        doc, tie, slice_ = (np.array([row[i] for row in rows], np.int64) for i in range(3))
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         for a, b in zip(edges, np.append(edges[1:], len(order))):
@@ -162,16 +168,31 @@ def _scan(splitters: Splitters, chunk: int, held: int):
             )]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size = [], 0
+        rows, parts, size = {}, [], 0  # the documents of the open flush, numbered, and their stretches
+        some, waiting = [], 0  # the texts not yet worked on, the last of the rows
+
+        def work() -> None:
+            part = _suffixes(some, chunk)
+            part["text"] += np.uint32(len(rows) - len(some))
+            parts.append(part)
+            some.clear()
+
         for batch in batches:
-            for row in zip(batch["doc"].tolist(), batch["tie"].tolist(), batch["slice"].tolist(), batch["text"]):
-                rows.append(row)
-                size += len(row[3])
+            for doc, tie, slice_, text in zip(batch["doc"].tolist(), batch["tie"].tolist(), batch["slice"].tolist(), batch["text"]):
+                if (doc, tie) in rows:
+                    continue
+                rows[doc, tie] = slice_
+                some.append(text)
+                size, waiting = size + len(text), waiting + len(text)
+                if waiting >= chunk or size >= held:
+                    work()
+                    waiting = 0
                 if size >= held:
-                    yield from flush(rows)
-                    rows, size = [], 0
+                    yield from flush([(*key, slice_) for key, slice_ in rows.items()], parts)
+                    rows, parts, size = {}, [], 0
         if rows:
-            yield from flush(rows)
+            work()
+            yield from flush([(*key, slice_) for key, slice_ in rows.items()], parts)
 
     return run
 

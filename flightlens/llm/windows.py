@@ -30,8 +30,10 @@ def _grown(which: int, base: int, n: int) -> np.ndarray:
 
 def mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ x >> np.uint64(29)
+        x = x ^ x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(29)
+        return x
 
 
 class Hashes:
@@ -39,13 +41,17 @@ class Hashes:
 
     def __init__(self, data: np.ndarray):
         with np.errstate(over="ignore"):
-            terms = _BYTES[data] * _grown(0, _BASE, len(data))
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+            self.sums = np.empty(len(data) + 1, np.uint64)
+            self.sums[0] = 0
+            np.multiply(_BYTES[data], _grown(0, _BASE, len(data)), out=self.sums[1:])
+            np.cumsum(self.sums, out=self.sums)
         self.back = _grown(1, pow(_BASE, -1, 1 << 64), len(data) + 1)
 
     def of(self, starts: np.ndarray | slice, stops: np.ndarray | slice) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mix((self.sums[stops] - self.sums[starts]) * self.back[starts])
+            terms = self.sums[stops] - self.sums[starts]
+            terms *= self.back[starts]
+            return mix(terms)
 
 
 @dataclass
@@ -66,7 +72,9 @@ def stretches(hashes: Hashes, owner: np.ndarray, length: int = LENGTH, gram: int
     if n > int(bits):
         raise ValueError("work on at most 2 ** 28 bytes at a time")
     grams = n - gram + 1
-    least = hashes.of(slice(0, grams), slice(gram, n + 1)) & ~bits | np.arange(grams, dtype=np.uint64)
+    least = hashes.of(slice(0, grams), slice(gram, n + 1))
+    least &= ~bits
+    least |= np.arange(grams, dtype=np.uint64)
     inside, width = length - gram + 1, 1
     while 2 * width <= inside:
         least = np.minimum(least[:-width], least[width:])

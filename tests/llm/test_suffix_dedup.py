@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,22 @@ def test_more_buckets_than_ranges():
     rare = ~several
     assert (bucket[rare] == splitters.of(words[rare], spread[rare] + np.uint64(1))[0]).all()
     assert (np.diff(bucket[rare][np.argsort(words[rare])] // splitters.dealt) >= 0).all()
+
+
+def test_a_task_holds_records_not_texts():
+    """The step from texts to stretches takes little memory beside its records, 28 bytes for about thirty of text."""
+    rng, megabytes = np.random.default_rng(8), 16
+
+    def batches():
+        for i in range(megabytes):
+            texts = [rng.integers(97, 123, 4096, np.uint8).tobytes() for _ in range(256)]
+            yield pd.DataFrame({"doc": range(256 * i, 256 * i + 256), "tie": 0, "slice": 0, "text": texts})
+
+    scan = suffix._scan(suffix.Splitters(np.empty(0, np.uint64), 1), suffix.CHUNK, suffix.HELD)
+    tracemalloc.start()
+    try:
+        assert sum(len(part) for part in scan(batches())) == 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 140 << 20, peak >> 20
