@@ -25,6 +25,7 @@ ties are ordered by phrase; an empty table gives no rows; ids and other columns
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -55,47 +56,55 @@ GRAMS = "lang STRING, gram STRING, words INT, n BIGINT"
 
 
 class _Words:
-    """The words of some texts in a row, 0 for the end of a piece, and hashes of all phrases from each place."""
-
-    def __init__(self, texts: list[bytes], langs: list[str], order: int):
-        tokens: list[bytes] = []
-        sizes = []
-        for text in texts:
-            before = len(tokens)
-            tokens += text.translate(_LOWER).replace(_END, b" \xff ").split()
-            tokens.append(_END)
-            sizes.append(len(tokens) - before)
-        known = dict.fromkeys([_END])
-        known.update(dict.fromkeys(tokens))
-        self.known, self.order = list(known), order
-        number = dict(zip(self.known, range(len(self.known))))
-        self.number = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-        self.langs = list(dict.fromkeys(langs))
-        code = {lang: i for i, lang in enumerate(self.langs)}
-        self.lang = np.repeat([code[lang] for lang in langs], sizes)
-        hashed = np.array([xxhash.xxh64_intdigest(word) for word in self.known], np.uint64)[self.number]
+    """The words of some texts in a row by number, 0 for the end of a piece. Texts are not kept, and a word is kept once."""
+
+    def __init__(self):
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.numbers[_END]
+        self.codes: dict[str, int] = {}
+        self.parts: list[np.ndarray] = []
+        self.lang_of: list[int] = []
+        self.size = 0  # bytes of text
+
+    def add(self, text: bytes, lang: str) -> None:
+        tokens = text.translate(_LOWER).replace(_END, b" \xff ").split()
+        tokens.append(_END)
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens)))
+        self.lang_of.append(self.codes.setdefault(lang, len(self.codes)))
+        self.size += len(text)
+
+    def close(self) -> "_Words":
+        self.number = np.concatenate(self.parts)
+        self.lang = np.repeat(np.array(self.lang_of, np.int32), [len(part) for part in self.parts])
+        self.known, self.langs = list(self.numbers), list(self.codes)
+        del self.parts, self.lang_of, self.numbers
+        return self
+
+    def phrases(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to ``order`` words: a hash of the phrase from each place, and whether it lies within a piece."""
+        hashed = np.array([xxhash.xxh64_intdigest(word) for word in self.known], np.uint64)
         seeds = np.array([xxhash.xxh64_intdigest(lang.encode(), 1) for lang in self.langs], np.uint64)
-        with np.errstate(over="ignore"):
-            self.hashes = [mix(hashed ^ seeds[self.lang])]
-            for k in range(1, order):
-                self.hashes.append(mix(self.hashes[-1][:-1] * _STEP + hashed[k:]))
-        self.alive = [self.number != 0]
+        hashes, alive = mix(hashed[self.number] ^ seeds[self.lang]), self.number != 0
+        yield hashes, alive
         for k in range(1, order):
-            self.alive.append(self.alive[-1][:-1] & self.alive[0][k:])
+            with np.errstate(over="ignore"):
+                hashes = hashes[:-1] * _STEP
+                hashes += hashed[self.number[k:]]
+            hashes, alive = mix(hashes), alive[:-1] & (self.number[k:] != 0)
+            yield hashes, alive
 
 
-def _slices(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[_Words]:
-    texts, langs, size = [], [], 0
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
+    words = _Words()
     for batch in batches:
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            texts.append(text)
-            langs.append(lang)
-            size += len(text)
-            if size >= SOME_BYTES:
-                yield _Words(texts, langs, order)
-                texts, langs, size = [], [], 0
-    if texts:
-        yield _Words(texts, langs, order)
+        for text, lang in zip(batch.column("text"), batch.column("lang")):
+            words.add(text.as_py(), lang.as_py())
+            if words.size >= SOME_BYTES:
+                yield words.close()
+                words = _Words()
+    if words.parts:
+        yield words.close()
 
 
 def _count_into(order: int, bits: int, least: int):
@@ -104,10 +113,10 @@ def _count_into(order: int, bits: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, shift = np.zeros(1 << bits, kind), np.uint64(64 - bits)
-        for words in _slices(batches, order):
-            slots = np.concatenate([(h[alive] >> shift).astype(np.uint32) for h, alive in zip(words.hashes, words.alive)])
-            slots, counts = np.unique(slots, return_counts=True)
-            table[slots] = np.minimum(table[slots] + counts, least)
+        for words in _slices(batches):
+            for hashes, alive in words.phrases(order):  # one length at a time bounds what is held
+                slots, counts = np.unique((hashes[alive] >> shift).astype(np.uint32), return_counts=True)
+                table[slots] = np.minimum(table[slots] + counts, least)
         yield from _as_rows({i: chunk for i, chunk in enumerate(table.reshape(-1, 1 << min(bits, CHUNK_BITS)))}, TaskContext.get().partitionId())
 
     return run
@@ -166,10 +175,10 @@ def _longest(order: int, bits: int, passing: Broadcast):
     """(lang, gram, words, n): from each word on the longest phrase that passes; rows of no words count all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full, shift = passing.value, np.uint64(64 - bits)
-        for words in _slices(batches, order):
+        for words in _slices(batches):
             n = len(words.number)
-            deep, best = np.zeros(n, np.int64), words.hashes[0].copy()
-            for k, (h, alive) in enumerate(zip(words.hashes, words.alive)):
+            deep, best = np.zeros(n, np.int8), np.zeros(n, np.uint64)
+            for k, (h, alive) in enumerate(words.phrases(order)):
                 at = np.flatnonzero(alive & (deep[:len(h)] == k))
                 slots = h[at] >> shift
                 at = at[(full[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
@@ -177,16 +186,21 @@ def _longest(order: int, bits: int, passing: Broadcast):
                 best[at] = h[at]
             at = np.flatnonzero(deep)
             at = at[np.argsort(best[at])]
-            inside = np.arange(order) < deep[at][:, None]
-            rows = np.where(inside, words.number[np.minimum(at[:, None] + np.arange(order), n - 1)], 0)
-            rows = np.column_stack([words.lang[at], rows])
+            del best, h, alive
+            new = np.zeros(len(at), bool)
+            new[:1] = True
+            columns = [words.lang[at], *(np.where(deep[at] > k, words.number[np.minimum(at + k, n - 1)], 0) for k in range(order))]
+            for column in columns:
+                new[1:] |= column[1:] != column[:-1]
             # Equal hashes of different phrases only part a run; Spark adds up by text.
-            first = np.flatnonzero(np.concatenate([np.ones(min(len(at), 1), bool), (rows[1:] != rows[:-1]).any(axis=1)]))
-            counts, rows, deep = np.diff(np.append(first, len(at))), rows[first], deep[at[first]]
+            first = np.flatnonzero(new)
+            rows = np.column_stack([column[first] for column in columns])
+            counts, deep = np.diff(np.append(first, len(at))), deep[at[first]].astype(np.int64)
+            del columns, new, at
             known = words.known
             grams = [b" ".join([known[w] for w in row[1:k + 1]]) for row, k in zip(rows.tolist(), deep.tolist())]
             langs = [words.langs[i] for i in rows[:, 0]]
-            all_words = np.bincount(words.lang[words.alive[0]], minlength=len(words.langs))
+            all_words = np.bincount(words.lang[words.number != 0], minlength=len(words.langs))
             yield pa.RecordBatch.from_arrays([
                 pa.array(langs + words.langs, pa.string()), pa.array(grams + [b""] * len(words.langs), pa.binary()).cast(pa.string()),
                 pa.array(np.append(deep, np.zeros(len(words.langs), np.int64)), pa.int32()), pa.array(np.append(counts, all_words), pa.int64()),

@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from flightlens.llm import collocations
@@ -137,3 +140,23 @@ def test_query_equals_sql(spark, tables):
     with duckdb.connect() as db:
         db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
         assert got == sorted(db.execute(OP11_SQL).fetchall()) and got
+
+
+def test_a_task_holds_words_once(monkeypatch):
+    """Counting 16 MB of text takes little memory beside the table of counters."""
+    monkeypatch.setattr(collocations, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(5000)]
+
+    def batches():
+        for _ in range(16):
+            texts = [" ".join(rng.choices(words, k=500)).encode() for _ in range(256)]
+            yield pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * 256})
+
+    tracemalloc.start()
+    try:
+        assert sum(len(part) for part in collocations._count_into(4, 16, 30)(batches())) == 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 << 20, peak >> 20
