@@ -9,6 +9,7 @@ through ``encode_batch``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -97,23 +98,22 @@ class WordEncoder:
         return out + self._join(some, end)
 
     def _join(self, split: list[list[bytes]], end: bytes) -> list[bytes]:
-        get, new = self.known.get, set()
-        rows = [list(map(get, words)) for words in split]
-        for words, ids in zip(split, rows):
-            if None in ids:
-                new.update([word for word, found in zip(words, ids) if found is None])
+        ids_of, out, open_, new = self.known.__getitem__, [], [], set()
+        for i, words in enumerate(split):
+            try:
+                out.append(b"".join(map(ids_of, words)) + end)
+            except KeyError:  # a word not met before
+                out.append(b"")
+                open_.append(i)
+                new.update(filterfalse(self.known.__contains__, words))
         if new:
             if len(self.known) + len(new) > KEPT_WORDS:  # common words are among those just seen
-                self.known = {
-                    word: found for words, ids in zip(split, rows) for word, found in zip(words, ids) if found is not None
-                }
+                self.known = {word: self.known[word] for words in split for word in words if word in self.known}
             self._learn(new)
-            known = self.known
-            rows = [
-                [known[word] if found is None else found for word, found in zip(words, ids)] if None in ids else ids
-                for words, ids in zip(split, rows)
-            ]
-        return [b"".join(ids) + end for ids in rows]
+            ids_of = self.known.__getitem__
+            for i in open_:
+                out[i] = b"".join(map(ids_of, split[i])) + end
+        return out
 
 
 def _is_plain(text: str) -> bool:

@@ -164,3 +164,18 @@ def test_packing_odd_rows(spark, make_docs, odd_rows):
 def test_packing_query(spark, given):
     n, total = check_packed(packing.op3_best_fit_packing(spark, "/root/testdata/sf0.001").collect(), given, 4096)
     assert n <= -(-total // 4096) + 2
+
+
+def test_known_words_are_joined_without_comparing_each():
+    """Ids of known words are joined as they are found: none is looked at to see whether it is missing."""
+    class Alone(bytes):
+        def __eq__(self, other):
+            raise AssertionError("compared")
+        __hash__ = bytes.__hash__
+
+    encode = tokens.WordEncoder(tokens.vocabulary_path())
+    texts = ["One word, two words.", "", None, "two WORDS one"]
+    wanted = encode.encode(texts, 1)
+    encode.known = {word: Alone(ids) for word, ids in encode.known.items()}
+    assert encode.encode(texts, 1) == wanted
+    assert encode.encode(["one new, word"]) == tokens.WordEncoder(tokens.vocabulary_path()).encode(["one new, word"])
