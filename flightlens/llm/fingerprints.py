@@ -37,14 +37,15 @@ LONG_LINE = 120
 LONG_SENTENCE = 160
 RADIUS = 8
 TABLE_DIGESTS = 8
+CELLS = 24  # of a table; a digest that comes out leaves one empty for good, so no more than this come out
 ROUNDS = 16
 SLICE_ROWS = 1000
 DEAL_BITS = 40  # upper bits deal digests to tables, lower ones choose cells
 LOW_BITS = (0, 3)  # rounds take turns, so that digests that share all cells in one do not in the next
 
-# Where a sentence's words start a piece: words whose hash is the least around them; most fall to their neighbours.
+# Where a sentence's words start a piece: words whose hash is the least around them; most fall to a neighbour, and are asked no more.
 SENTENCE_PIECES = """transform(array(split(p, ' ', -1)), w -> transform(array(transform(w, x -> xxhash64(x))), h -> transform(
-  array(filter(sequence(1, size(w)), i -> i = 1 OR (h[i - 1] <= least(get(h, i - 3), get(h, i - 2), get(h, i), get(h, i + 1))
+  array(filter(sequence(1, size(w)), i -> i = 1 OR (h[i - 1] <= ifnull(get(h, i), h[i - 1]) AND h[i - 1] <= h[i - 2]
     AND h[i - 1] = array_min(slice(h, greatest(1, i - {radius}), least(i, {radius} + 1) + {radius}))))),
   starts -> transform(starts, (at, k) -> array_join(slice(w, at, coalesce(get(starts, k + 1), size(w) + 1) - at), ' ')))[0])[0])[0]"""
 
@@ -52,28 +53,59 @@ DIGESTS = r"""array_distinct(transform(flatten(transform(
   flatten(transform(split({text}, '\n', -1), l -> IF(length(l) > {line}, split(l, '(?<=[.!?])\\x20', -1), array(l)))),
   p -> IF(length(p) > {sentence}, {pieces}, array(p)))), p -> xxhash64(p)))"""
 
-# In a cell: n digests, x their exclusive or, c that of their checks; s and r tell which digests it takes.
-CELLS = """flatten(transform(array({low}, {low} + 8, {low} + 16), s -> transform(array(0, 1, 2, 3, 4, 5, 6, 7), r -> transform(
-  array(filter({digests}, d -> (shiftrightunsigned(d, s) & 7) = r)),
-  own -> named_struct('n', size(own), 'x', aggregate(own, 0L, (a, d) -> a ^ d),
-                      'c', aggregate(own, 0L, (a, d) -> a ^ xxhash64(d)), 's', s, 'r', r))[0])))"""
-
-SUBTRACTED = "zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x, 'c', p.c ^ q.c, 's', p.s, 'r', p.r))"
-
-PEELED = """aggregate(sequence(1, {rounds}),
-  named_struct('cells', {cells}, 'found', CAST(array() AS array<struct<x: bigint, n: int>>), 'going', true),
-  (s, round) -> IF(NOT s.going, s, transform(
-    array(array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.x)), c -> named_struct('x', c.x, 'n', c.n)))),
-    pure -> IF(size(pure) = 0, named_struct('cells', s.cells, 'found', s.found, 'going', false), named_struct(
-      'cells', transform(s.cells, c -> aggregate(
-        filter(pure, p -> (shiftrightunsigned(p.x, c.s) & 7) = c.r), c,
-        (c, p) -> named_struct('n', c.n - p.n, 'x', c.x ^ p.x, 'c', c.c ^ xxhash64(p.x), 's', c.s, 'r', c.r))),
-      'found', concat(s.found, pure), 'going', true)))[0]),
-  s -> IF(forall(s.cells, c -> c.n = 0 AND c.x = 0L AND c.c = 0L), s.found, NULL))"""
+# In a cell: n digests, x their exclusive or, c that of their checks. Less has that of p, without what is in q.
+# Most cells have one digest or none, and are made without sums.
+CELL = """CASE size(p) WHEN 0 THEN named_struct('n', 0, 'x', 0L, 'c', 0L) WHEN 1 THEN named_struct('n', 1, 'x', p[0], 'c', xxhash64(p[0]))
+  ELSE named_struct('n', size(p), 'x', aggregate(p, 0L, (x, d) -> x ^ d), 'c', aggregate(p, 0L, (x, d) -> x ^ xxhash64(d))) END"""
+LESS = """CASE size(p) + size(q) WHEN 0 THEN named_struct('n', 0, 'x', 0L, 'c', 0L)
+  WHEN 1 THEN IF(size(p) = 1, named_struct('n', 1, 'x', p[0], 'c', xxhash64(p[0])), named_struct('n', -1, 'x', q[0], 'c', xxhash64(q[0])))
+  ELSE named_struct('n', size(p) - size(q), 'x', aggregate(q, aggregate(p, 0L, (x, d) -> x ^ d), (x, d) -> x ^ d),
+    'c', aggregate(q, aggregate(p, 0L, (x, d) -> x ^ xxhash64(d)), (x, d) -> x ^ xxhash64(d))) END"""
+LEFT = "IF(out.n = 0 AND out.x = 0L, c, named_struct('n', c.n - out.n, 'x', c.x ^ out.x, 'c', c.c ^ out.c))"
+PURE = """named_struct('a', array_distinct(transform(filter({cells}, c -> c.n = 1 AND c.c = xxhash64(c.x)), c -> c.x)),
+  'b', array_distinct(transform(filter({cells}, c -> c.n = -1 AND c.c = xxhash64(c.x)), c -> c.x)))"""
+
+# Whether nothing is in a table but the digests in `pure`, by its first row, where each digest is in one cell.
+ALL_OUT = """(size(pure.a) - size(pure.b) = aggregate(slice({cells}, 1, 8), 0, (n, c) -> n + c.n)
+  AND aggregate(pure.b, aggregate(pure.a, 0L, (x, d) -> x ^ d), (x, d) -> x ^ d) = aggregate(slice({cells}, 1, 8), 0L, (x, c) -> x ^ c.x)
+  AND aggregate(pure.b, aggregate(pure.a, 0L, (x, d) -> x ^ xxhash64(d)), (x, d) -> x ^ xxhash64(d)) = aggregate(slice({cells}, 1, 8), 0L, (x, c) -> x ^ c.c))"""
 
 # Digests dealt to 2^bits lists, one bit at a time, by the bits after the first `used`.
-DEALT = """aggregate(IF({bits} = 0, CAST(array() AS array<int>), sequence(1, {bits})), array({digests}), (lists, i) -> flatten(transform(lists, l -> array(
-  filter(l, d -> (shiftrightunsigned(d, 64 - {used} - i) & 1) = 0), filter(l, d -> (shiftrightunsigned(d, 64 - {used} - i) & 1) = 1)))))"""
+DEALT = """aggregate(IF({bits} = 0, CAST(array() AS array<bigint>), transform(sequence(1, {bits}), i -> shiftleft(1L, 64 - {used} - i))), array({digests}),
+  (lists, bit) -> flatten(transform(lists, l -> array(filter(l, d -> (d & bit) = 0L), filter(l, d -> (d & bit) <> 0L)))))"""
+
+
+def _placed(digests: str, low: int, bits: str = "d") -> str:
+    """Who is in each of a table's 24 cells, row by row, by three ``bits`` from ``low``, ``low`` + 8 or ``low`` + 16.
+
+    Each cell has its own filter, with numbers in it: Spark takes each small step of a lambda by itself.
+    """
+    each = [f"filter({digests}, d -> ({bits} & {7 << shift}L) = {cell << shift}L)" for shift in (low, low + 8, low + 16) for cell in range(8)]
+    return f"array({', '.join(each)})"
+
+
+def _less(a: str, b: str, low: int) -> str:
+    """The table of the digests ``a``, less that of ``b``."""
+    return f"zip_with({_placed(a, low)}, {_placed(b, low)}, (p, q) -> {LESS})"
+
+
+def _peeled(table: str, low: int) -> str:
+    """The digests of a subtracted table, those of a and those of b alone; null if some are left that do not come out.
+
+    Most tables are done with the digests that come out first. What goes on no further holds no cells, as Spark copies it each round.
+    """
+    none = "CAST(array() AS array<bigint>)"
+    done = f"named_struct('cells', {{cells}}, 'pure', more, 'a', {{a}}, 'b', {{b}}, 'going', {{going}})"
+    a, b = "concat(s.a, s.pure.a)", "concat(s.b, s.pure.b)"
+    return f"""transform(array({table}), cells -> transform(array({PURE.format(cells="cells")}), pure -> IF({ALL_OUT.format(cells="cells")}, pure,
+  IF(size(pure.a) + size(pure.b) = 0, NULL, aggregate(sequence(1, {ROUNDS}),
+    named_struct('cells', cells, 'pure', pure, 'a', {none}, 'b', {none}, 'going', true),
+    (s, round) -> IF(NOT s.going, s, transform(array(zip_with(s.cells, {_less("s.pure.a", "s.pure.b", low)}, (c, out) -> {LEFT})),
+      left -> transform(array({PURE.format(cells="left")}), more -> CASE
+        WHEN size(more.a) + size(more.b) > 0 THEN {done.format(cells="left", a=a, b=b, going="true")}
+        WHEN forall(left, c -> c.n = 0 AND c.x = 0L AND c.c = 0L) THEN {done.format(cells="NULL", a=a, b=b, going="false")}
+        ELSE {done.format(cells="slice(left, 1, 1)", a=none, b=none, going="false")} END)[0])[0]),
+    s -> IF(s.cells IS NULL, named_struct('a', s.a, 'b', s.b), NULL)))))[0])[0]"""
 
 
 def paragraph_digests(text: str) -> Column:
@@ -89,17 +121,15 @@ def table_bits(digests: Column) -> Column:
 
 
 def cells(digests: str) -> Column:
-    """The fingerprint of a column of digests: array of 24 struct<n, x, c, s, r> for each of its tables."""
+    """The fingerprint of a column of digests: array of 24 struct<n, x, c> for each of its tables."""
     bits = f"CAST(ceil(log2(greatest(size(`{digests}`) / {TABLE_DIGESTS}, 1.0))) AS int)"
     lists = DEALT.format(bits=bits, digests=f"`{digests}`", used=0)
-    return F.expr(f"flatten(transform({lists}, mine -> {CELLS.format(digests='mine', low=0)}))")
+    return F.expr(f"flatten(transform({lists}, mine -> transform({_placed('mine', 0)}, p -> {CELL})))")
 
 
 def serialized(table: str) -> Column:
     """A fingerprint as text: count, digests and checks of each cell in hexadecimal, nothing for an empty cell."""
-    return F.expr(
-        f"array_join(transform(`{table}`, c -> IF(c.n = 0, '', concat_ws('.', c.n, lower(hex(c.x)), lower(hex(c.c))))), ' ')"
-    )
+    return F.expr(f"lower(array_join(transform(`{table}`, c -> IF(c.n = 0, '', concat_ws('.', c.n, hex(c.x), hex(c.c)))), ' '))")
 
 
 def recovered(a: str, b: str, low: int = 0) -> Column:
@@ -107,8 +137,10 @@ def recovered(a: str, b: str, low: int = 0) -> Column:
 
     ``low`` is the first of the bits that choose cells, 0 in a fingerprint.
     """
-    apart = SUBTRACTED.format(a=CELLS.format(digests="mine", low=low), b=CELLS.format(digests="theirs", low=low))
-    return F.expr(f"zip_with({a}, {b}, (mine, theirs) -> {PEELED.format(rounds=ROUNDS, cells=apart)})")
+    apart = _peeled(_less("mine", "theirs", low), low)
+    signed = "concat(transform(t.a, x -> named_struct('x', x, 'n', 1)), transform(t.b, x -> named_struct('x', x, 'n', -1)))"
+    tables = f"zip_with({a}, {b}, (mine, theirs) -> IF(abs(size(mine) - size(theirs)) > {CELLS}, NULL, {apart}))"
+    return F.expr(f"transform({tables}, t -> IF(t IS NULL, NULL, {signed}))")
 
 
 def _peel(todo: DataFrame, bits: Column, found: str, low: int = 0) -> DataFrame:
@@ -158,9 +190,10 @@ def likeness(pairs: DataFrame) -> DataFrame:
     return found.join(sizes, ["uid", "kind"]).select("uid", "kind", near(F.col("apart"), F.col("total")).alias("near"))
 
 
-def with_next(docs: DataFrame, slices: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def with_next(docs: DataFrame, slices: int | None = None, slice_rows: int = SLICE_ROWS, **derived: Column) -> DataFrame:
     """(doc_id, text, next_text): each document with the text of the next by doc_id, the last with the first's.
 
+    ``derived`` columns, of the text, are worked out once for a text and come as the next document's too, as ``next_`` and the name.
     ``slices``, by default half the root of the rows, is less where a slice would have under ``slice_rows`` rows.
     """
     texts = docs.select("doc_id", whole().alias("text"))
@@ -183,18 +216,19 @@ def with_next(docs: DataFrame, slices: int | None = None, slice_rows: int = SLIC
         [(None if row["unknown"] else row["head"], slice_no) for row, slice_no in zip(heads, before)], "head BIGINT, slice INT",
     )
     firsts = texts.join(F.broadcast(ends), F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", "slice")
-    entered = spread.withColumn("end", F.lit(False)).unionByName(firsts.withColumn("end", F.lit(True)))
+    entered = spread.withColumn("end", F.lit(False)).unionByName(firsts.withColumn("end", F.lit(True))).withColumns(derived)
     order = Window.partitionBy("slice").orderBy("end", "doc_id", "text")
-    return entered.withColumn("next_text", F.lead("text").over(order)).where(~F.col("end")).select("doc_id", "text", "next_text")
+    following = {f"next_{name}": F.lead(name).over(order) for name in ("text", *derived)}
+    return entered.withColumns(following).where(~F.col("end")).select("doc_id", "text", *derived, *following)
 
 
 def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = with_next(id_and_text(documents(spark, sf_dir)))
+    pairs = with_next(id_and_text(documents(spark, sf_dir)), own=paragraph_digests("text"))
     n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     read = written(pairs.withColumn("edited_text", edited).select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
-        paragraph_digests("text").alias("own"), paragraph_digests("edited_text").alias("edited"), paragraph_digests("next_text").alias("next"),
+        "own", paragraph_digests("edited_text").alias("edited"), F.col("next_own").alias("next"),
     ), "digests")
     kinds = ("edited", "next")
     both = F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("b")) for kind in kinds)))

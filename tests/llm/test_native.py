@@ -235,6 +235,36 @@ def test_next_documents(spark, make_docs, odd_rows):
     assert {r["doc_id"]: r["next_text"] for r in many.collect()} == {i: str((i + 1) % 3_000) for i in range(3_000)}
 
 
+def test_columns_of_the_next_document_come_with_it(spark, make_docs, odd_rows):
+    rows = odd_rows + [(i * i, f"text {i}", None, None) for i in range(5, 60)]
+    got = prints.with_next(id_and_text(make_docs(rows)), slices=7, slice_rows=4, own=prints.paragraph_digests("text")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for text, digests in ((r["text"], r["own"]), (r["next_text"], r["next_own"])):
+            assert set(digests) == {signed_hash(p) for p in paragraphs(text)} and len(set(digests)) == len(digests)
+
+
+def test_a_table_is_recovered_whole_or_not_at_all(spark):
+    rng = random.Random(5)
+    tables = []
+    for few in [0, 1, 2, 3, 4, 6, 8, 11, 14, 18, 23, 24] * 12:
+        digests = [rng.randrange(-1 << 63, 1 << 63) for _ in range(few + 6)]
+        cut = rng.randint(0, few)
+        tables.append((digests[:cut] + digests[few:], digests[cut:few] + digests[few:][::-1]))
+    tables += [([rng.randrange(-1 << 63, 1 << 63) for _ in range(90)], []), ([], list(range(25)))]
+    df = spark.createDataFrame([(i, [a], [b]) for i, (a, b) in enumerate(tables)], "uid BIGINT, a ARRAY<ARRAY<BIGINT>>, b ARRAY<ARRAY<BIGINT>>")
+    for low in (0, 3):
+        came_out = 0
+        for r in df.select("uid", prints.recovered("a", "b", low).alias("t")).collect():
+            a, b = map(set, tables[r["uid"]])
+            if (found := r["t"][0]) is not None:
+                came_out += 1
+                assert sorted((x["x"], x["n"]) for x in found) == sorted([(x, 1) for x in a - b] + [(x, -1) for x in b - a])
+            else:
+                assert len(a ^ b) > 2
+        assert 12 * 6 < came_out < len(tables)
+
+
 def test_fingerprint_of_a_very_long_text_and_halves_that_stay(spark):
     long = "\n".join(f"line {i}" for i in range(40_000))
     rng = random.Random(3)
