@@ -9,7 +9,6 @@ through ``encode_batch``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +18,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Words kept between batches: about 200 bytes each.
 KEPT_WORDS = 600_000
+RUN_WORDS = 100  # words encoded as one text; longer texts cost more a word
+# ASCII marks that the splitter always parts from letters before them and that are in no contraction or special token.
+MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^`{}~"
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -46,7 +48,6 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         self.ends[[i for i, end in ends if end]] = True
         self.known: dict[bytes, bytes] = {}
-        self.marks = dict(zip(".,", self._whole([".", ","])))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -54,7 +55,7 @@ class WordEncoder:
     def _plain(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters: each is one token run, so the run's ends show where words end."""
         found: list[bytes] = []
-        runs = [words[at:at + 1000] for at in range(0, len(words), 1000)]
+        runs = [words[at:at + RUN_WORDS] for at in range(0, len(words), RUN_WORDS)]
         for some, e in zip(runs, self.plain.encode_batch_fast([" ".join(some) for some in runs], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             raw, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
@@ -64,25 +65,34 @@ class WordEncoder:
         return found
 
     def _learn(self, new: set[bytes]) -> None:
-        known, marks = self.known, self.marks
+        """Letters, which marks may follow: the ids of the letters in lower case, then those of the marks. Any other word by itself."""
+        known = self.known
         plain: list[str] = []
-        tailed: list[tuple[bytes, bytes, bytes]] = []
+        tailed: list[tuple[bytes, str, str]] = []
         other: list[bytes] = []
         for word in new:
             text = word.decode()
-            if text.isalpha() and _is_plain(text):
+            base = text.rstrip(MARKS)
+            if not base.isalpha():
+                other.append(word)
+                continue
+            n = len(base)
+            if not base.isascii() and max(base) < "\u0100":
+                base = base.lower()
+            if not _is_plain(base):
+                other.append(word)
+            elif base == text:
                 plain.append(text)
-            elif text[-1] in marks and text[:-1].isalpha() and _is_plain(text[:-1]):
-                base = word[:-1]
-                tailed.append((word, base, marks[text[-1]]))
-                if base not in known and base not in new:
-                    plain.append(text[:-1])
             else:
-                other.append(word)
-        plain = list(dict.fromkeys(plain))
-        known.update(zip([text.encode() for text in plain], self._plain(plain)))
+                tailed.append((word, base, text[n:]))
+        some = dict.fromkeys(plain)
+        some.update(dict.fromkeys(base for _, base, _ in tailed if base not in some and base.encode() not in known))
+        found = dict(zip(some, self._plain(list(some))))
+        tails = list({tail for _, _, tail in tailed})
+        ends = dict(zip(tails, self._whole(tails)))
+        known.update((text.encode(), found[text]) for text in plain)
         for word, base, tail in tailed:
-            known[word] = known[base] + tail
+            known[word] = (found[base] if base in found else known[base.encode()]) + ends[tail]
         known.update(zip(other, self._whole([word.decode() for word in other])))
 
     def encode(self, texts: Sequence[str | None], end_id: int | None = None) -> list[bytes]:
@@ -98,21 +108,24 @@ class WordEncoder:
         return out + self._join(some, end)
 
     def _join(self, split: list[list[bytes]], end: bytes) -> list[bytes]:
-        ids_of, out, open_, new = self.known.__getitem__, [], [], set()
+        ids_of, out, open_, new = self.known.get, [], [], set()
         for i, words in enumerate(split):
-            try:
-                out.append(b"".join(map(ids_of, words)) + end)
-            except KeyError:  # a word not met before
+            found = list(map(ids_of, words))
+            if None in found:  # words not met before
+                gaps = [at for at, ids in enumerate(found) if ids is None]
+                new.update([words[at] for at in gaps])
+                open_.append((i, found, gaps))
                 out.append(b"")
-                open_.append(i)
-                new.update(filterfalse(self.known.__contains__, words))
+            else:
+                out.append(b"".join(found) + end)
         if new:
             if len(self.known) + len(new) > KEPT_WORDS:  # common words are among those just seen
                 self.known = {word: self.known[word] for words in split for word in words if word in self.known}
             self._learn(new)
-            ids_of = self.known.__getitem__
-            for i in open_:
-                out[i] = b"".join(map(ids_of, split[i])) + end
+            for i, found, gaps in open_:
+                for at in gaps:
+                    found[at] = self.known[split[i][at]]
+                out[i] = b"".join(found) + end
         return out
 
 

@@ -38,6 +38,18 @@ def test_word_encoder_is_the_tokenizer(given, monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in small.encode(EDGE * 3, 1)] == wanted[:len(EDGE)] * 3
 
 
+def test_words_with_marks_are_made_of_letters_and_marks(monkeypatch):
+    """Letters in either case and the marks after them are encoded apart, so that few words are texts of their own."""
+    pairs = [f"wort{a}{b}" for a in tokens.MARKS for b in ["", *tokens.MARKS]]
+    words = pairs + ["Éle&&&", "ciÓnÑ,!!", "ÉpamentÊ,", "thndoror!!", "ØÞ", "ª.", "µ!", "ßÿ--", "İx!", "ŉ,", "Ǆ.", "it's.", "a<b", "a|.", "a_.", "x'.", "12.", "...", "a.b,"]
+    small = tokens.WordEncoder(tokens.vocabulary_path())
+    whole, asked = small._whole, []
+    monkeypatch.setattr(small, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    texts = [*words, " ".join(words), " ".join(word + " <|endoftext|>" for word in words)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in small.encode(texts, 1)] == [ids_of(text) for text in texts]
+    assert not {"wort!!", "wort)]", "thndoror!!", "éle&&&", "Éle&&&", "ÉpamentÊ,"} & set(asked) and {"!!", "&&&", "it's."} <= set(asked)
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(0)
