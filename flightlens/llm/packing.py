@@ -25,6 +25,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flightlens.llm.common import documents, id_and_text, written
@@ -42,21 +43,23 @@ def cut(
     """One row per piece of at most ``capacity`` ids: doc_id, piece, start, length, ids_crc32 (and ids)."""
     vocabulary = vocabulary or vocabulary_path()
     names = [field.split()[0] for field in PIECES.split(", ")] + ["ids"] * with_ids
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:len(names)]
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = encoder(vocabulary)
         for batch in batches:
-            keys = batch["doc_id"].astype("Int64").astype(object)
-            for at in range(0, len(batch), 256):
-                rows = []
-                for key, raw in zip(keys.iloc[at:at + 256], encode(batch["text"].iloc[at:at + 256].tolist(), end_id)):
-                    for i, begin in enumerate(range(0, len(raw), 4 * capacity)):
-                        ids = raw[begin:begin + 4 * capacity]
-                        rows.append((key, i, begin // 4, len(ids) // 4, zlib.crc32(ids), ids)[:len(names)])
-                out = pd.DataFrame(rows, columns=names)
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
-
-    return id_and_text(docs, id_col, text_col).mapInPandas(pieces, PIECES + ", ids BINARY" * with_ids)
+            keys = iter(batch.column("doc_id").to_pylist())
+            for whole, stops in words.runs(batch.column("text"), end_id):
+                raw, rows, start = whole.tobytes(), [], 0
+                for stop, key in zip((4 * stops).tolist(), keys):
+                    for i, begin in enumerate(range(start, stop, 4 * capacity)):
+                        ids = raw[begin:min(begin + 4 * capacity, stop)]
+                        rows.append((key, i, (begin - start) // 4, len(ids) // 4, zlib.crc32(ids), ids)[:len(names)])
+                    start = stop
+                columns = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)], names=names)
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(pieces, PIECES + ", ids BINARY" * with_ids)
 
 
 def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:

@@ -22,6 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -35,6 +37,11 @@ BLOCKS = (
     "shard INT, block INT, first BIGINT, n_ids INT, plane_bytes ARRAY<INT>, "
     "parts ARRAY<STRUCT<doc_no: INT, doc_id: BIGINT, part: INT, at: INT, n: INT>>, payload BINARY"
 )
+BLOCK_SCHEMA = pa.schema([
+    ("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int32()), ("plane_bytes", pa.list_(pa.int32())),
+    ("parts", pa.list_(pa.struct([("doc_no", pa.int32()), ("doc_id", pa.int64()), ("part", pa.int32()), ("at", pa.int32()), ("n", pa.int32())]))),
+    ("payload", pa.binary()),
+])
 PARTS = "shard INT, doc_no INT, doc_id BIGINT, part INT, first BIGINT, n INT, ids BINARY"
 
 
@@ -62,7 +69,11 @@ def from_planes(payload: bytes, plane_bytes: list[int], n_ids: int) -> np.ndarra
     if bits:
         columns = [np.unpackbits(plane, bitorder="little")[:n_ids] for plane in planes]
         return np.packbits(np.stack(columns, axis=1), axis=1, bitorder="little").reshape(-1).view("<u4")
-    return np.stack(planes, axis=1).reshape(-1).view("<u4")
+    ids = np.zeros(n_ids, "<u4")
+    for i, plane in enumerate(planes):
+        if plane_bytes[i]:
+            ids |= plane.astype("<u4") << np.uint32(8 * i)
+    return ids
 
 
 def write_tokens(
@@ -72,27 +83,27 @@ def write_tokens(
     """Encode ``docs`` in order of doc_id, ``end_id`` after each, and write the blocks to ``path``."""
     vocabulary = vocabulary or vocabulary_path()
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, encode = TaskContext.get().partitionId(), encoder(vocabulary).encode
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, words = TaskContext.get().partitionId(), encoder(vocabulary)
         held, size, parts = [], 0, []  # the open block: stretches of ids, their count, whose they are
         block = doc_no = 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             planes = to_planes(np.concatenate(held), bits, level)
             row = (shard, block, block * block_ids, size, [len(p) for p in planes], parts, b"".join(planes))
-            return pd.DataFrame([row], columns=["shard", "block", "first", "n_ids", "plane_bytes", "parts", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([value], field.type) for value, field in zip(row, BLOCK_SCHEMA)], schema=BLOCK_SCHEMA)
 
         for batch in batches:
-            keys = batch["doc_id"].astype("Int64")
-            for at in range(0, len(batch), 256):
-                texts = batch["text"].iloc[at:at + 256].tolist()
-                for key, raw in zip(keys.iloc[at:at + 256], encode(texts, end_id)):
-                    ids, done, part = np.frombuffer(raw, "<u4"), 0, 0
-                    while done < len(ids):
-                        some = ids[done:done + block_ids - size]
-                        parts.append({"doc_no": doc_no, "doc_id": None if pd.isna(key) else int(key), "part": part, "at": size, "n": len(some)})
-                        held.append(some)
-                        size, done, part = size + len(some), done + len(some), part + 1
+            keys = iter(batch.column("doc_id").to_pylist())
+            for ids, stops in words.runs(batch.column("text"), end_id):
+                done = 0
+                for stop, key in zip(stops.tolist(), keys):
+                    part = 0
+                    while done < stop:
+                        n = min(stop - done, block_ids - size)
+                        parts.append({"doc_no": doc_no, "doc_id": key, "part": part, "at": size, "n": n})
+                        held.append(ids[done:done + n])
+                        size, done, part = size + n, done + n, part + 1
                         if size == block_ids:
                             yield close()
                             held, size, parts, block = [], 0, [], block + 1
@@ -101,23 +112,25 @@ def write_tokens(
             yield close()
 
     ordered = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(blocks, BLOCKS).write.option("compression", "uncompressed").parquet(path)
+    ordered.mapInArrow(blocks, BLOCKS).write.option("compression", "uncompressed").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document and block: shard, doc_no in it, doc_id, part, first id's place in the shard, n, ids."""
-    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                raw = from_planes(row.payload, list(row.plane_bytes), row.n_ids).tobytes()
-                out = pd.DataFrame(list(row.parts))
-                out["ids"] = [raw[4 * at:4 * (at + n)] for at, n in zip(out["at"], out["n"])]
-                yield pd.DataFrame({
-                    "shard": row.shard, "doc_no": out["doc_no"], "doc_id": out["doc_id"].astype("Int64"), "part": out["part"],
-                    "first": row.first + out["at"], "n": out["n"], "ids": out["ids"],
-                })
-
-    return spark.read.schema(BLOCKS).parquet(path).mapInPandas(parts, PARTS)
+            for row in range(batch.num_rows):
+                shard, first, n_ids, planes, payload = (batch.column(name)[row].as_py() for name in ("shard", "first", "n_ids", "plane_bytes", "payload"))
+                raw = from_planes(payload, planes, n_ids).tobytes()
+                doc_no, doc_id, part, at, n = batch.column("parts")[row].values.flatten()
+                starts, sizes = at.to_pylist(), n.to_pylist()
+                columns = [
+                    pa.repeat(pa.scalar(shard, pa.int32()), len(at)), doc_no, doc_id, part, pc.add(at.cast(pa.int64()), first), n,
+                    pa.array([raw[4 * a:4 * (a + size)] for a, size in zip(starts, sizes)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "doc_no", "doc_id", "part", "first", "n", "ids"])
+
+    return spark.read.schema(BLOCKS).parquet(path).mapInArrow(parts, PARTS)
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:

@@ -191,3 +191,30 @@ def test_known_words_are_joined_without_comparing_each():
     encode.known = {word: Alone(ids) for word, ids in encode.known.items()}
     assert encode.encode(texts, 1) == wanted
     assert encode.encode(["one new, word"]) == tokens.WordEncoder(tokens.vocabulary_path()).encode(["one new, word"])
+
+
+def test_each_piece_is_looked_up_once_for_some_texts():
+    """Words are numbered first: letters and marks are looked up once for some texts, however often they come."""
+    asked = []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return dict.get(self, key, default)
+
+    encode, texts = tokens.WordEncoder(tokens.vocabulary_path()), [" one, two; ONE;\n", None, "two, one"] * 100
+    encode.known = Counted()
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode(texts, 1)] == [ids_of(text) for text in texts]
+    assert len(asked) == len(set(asked)) == 5  # one, two, the two marks and nothing
+
+
+def test_small_steps_give_the_same_ids(given, monkeypatch):
+    texts = EDGE + [t for _, t in given[:50]]
+    wanted = [ids_of(t) for t in texts]
+    for name, size in (("SOME_BYTES", 500), ("GATHERED", 7), ("KEPT_WORDS", 40), ("RUN_WORDS", 1)):
+        monkeypatch.setattr(tokens, name, size)
+    encode = tokens.WordEncoder(tokens.vocabulary_path())
+    for end in (1, None):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encode.encode(texts, end)]
+        assert got == (wanted if end else [ids[:-1] for ids in wanted])
+    assert list(encode.runs(tokens.pa.array([], tokens.pa.string()), 1)) == []
